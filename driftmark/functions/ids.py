@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Whitespace of any Unicode kind, and the invisible marks that pad identifiers.
-PADDING = r"[\x09-\x0d\x1c-\x20\x85\xa0  -​    　﻿]"
+PADDING = r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
 CANONICAL = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
