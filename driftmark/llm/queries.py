@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftmark.functions.ids import canonical_uuid
-from driftmark.llm import leaks, splitting
+from driftmark.llm import leaks, packing, splitting, vectors
 from driftmark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,36 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir)
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of chunks that are each among the other's 5 nearest, with a cosine of at least 0.95."""
+    config = vectors.SearchConfig(p=0.9999, min_cosine=0.95)
+    return vectors.mutual_pairs(vectors.nearest(table(spark, sf_dir, "chunks"), config))
+
+
+def p6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest chunks of every chunk whose id is divisible by 100, with their contents."""
+    chunks = table(spark, sf_dir, "chunks")
+    found = vectors.nearest(chunks, vectors.SearchConfig(), queries=F.col("id") % 100 == 0)
+    contents = chunks.groupBy(F.col("id").alias("neighbour")).agg(F.min("content").alias("content"))
+    return found.join(contents, "neighbour", "left").select(F.col("query").alias("id"), "rank", F.col("neighbour").alias("neighbour_id"), F.round(F.col("cosine").cast("double"), 5).alias("cosine"), "content")
+
+
+def vocabulary() -> str:
+    """The vocabulary file for packing; ``DRIFTMARK_VOCABULARY`` names another one."""
+    return os.environ.get("DRIFTMARK_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which text lies in which sequence of 2,048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many sequences there are and how full they are."""
+    per = p7_packed(spark, sf_dir).groupBy("sequence_id").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("pieces"))
+    return per.agg(F.count(F.lit(1)).alias("sequences"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.max("pieces").alias("most_pieces"), F.round(F.sum("n") / (F.count(F.lit(1)) * 2048), 4).alias("fill"))
+
+
 def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaks with the longest shared run, where it is in the text, and whether the answer is there too."""
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
@@ -39,4 +70,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_report(spark, sf_dir).select("item_id", "doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p8_found, p8_report)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p6_found, p6_neighbours, p7_packed, p7_fill, p8_found, p8_report)}
