@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftmark.functions.ids import canonical_uuid
-from driftmark.llm import leaks, packing, splitting, vectors
+from driftmark.llm import encodings, leaks, packing, splitting, vectors
 from driftmark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,4 +70,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_report(spark, sf_dir).select("item_id", "doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p6_found, p6_neighbours, p7_packed, p7_fill, p8_found, p8_report)}
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled documents with what is wrong and the restored text."""
+    return encodings.find_garbled(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that were decoded with a wrong encoding, wholly or in places."""
+    return p9_report(spark, sf_dir).select("doc_id")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p6_found, p6_neighbours, p7_packed, p7_fill, p8_found, p8_report, p9_found, p9_report)}
