@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: The folders made for local sessions that name none.
+_LOCAL: dict[str, str] = {}
 
 
 def local_session(app: str = "driftmark", cores: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -34,15 +36,14 @@ def local_session(app: str = "driftmark", cores: int | str = 8, shuffle_partitio
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only where the session leaves it unset (tests, a laptop) a local folder is made, and the setting is
-    then kept for the session so that every operator uses the same one.
+    Only where a local session leaves it unset (tests, a laptop) a folder is made, one per session.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
-        root = "file://" + tempfile.mkdtemp(prefix="driftmark-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        root = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="driftmark-")
+        _LOCAL[spark.sparkContext.applicationId] = root
     if "://" not in root:
         root = "file://" + os.path.abspath(root)
     return root.rstrip("/")
