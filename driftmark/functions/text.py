@@ -100,7 +100,7 @@ def vector_from_text(c: Column) -> Column:
     return F.from_json(c, "array<float>")
 
 
-EVENT = "event_id string, document_id string, event_type string, document_version string, created_at string"
+EVENT = "event_id string, document_id string, event_type string, document_version string, created_at string, dm_broken string"
 _OFFSET = r"(Z|[+-][0-9]{2}:?[0-9]{2}(:?[0-9]{2})?)$"
 
 
@@ -123,11 +123,11 @@ def decode_event(value: Column) -> Column:
     """
     from driftmark.functions.ids import canonical_uuid
 
-    e = F.from_json(value.cast("string"), EVENT)
+    e = F.from_json(value.cast("string"), EVENT, {"columnNameOfCorruptRecord": "dm_broken"})
     version = e["document_version"].try_cast("int")
     created = F.try_to_timestamp(e["created_at"])
     error = (
-        F.when(value.isNull() | e.isNull() | ~F.coalesce(strip(value.cast("string")).startswith("{"), F.lit(False)), "malformed payload")
+        F.when(value.isNull() | e.isNull() | e["dm_broken"].isNotNull() | ~F.coalesce(strip(value.cast("string")).startswith("{"), F.lit(False)), "malformed payload")
         .when(~F.coalesce(e["event_type"].isin("upserted", "deleted"), F.lit(False)), "unknown event type")
         .when(created.isNull() | ~F.coalesce(e["created_at"].rlike(_OFFSET), F.lit(False)), "time without offset")
         .when(canonical_uuid(e["event_id"]).isNull() | canonical_uuid(e["document_id"]).isNull(), "malformed id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftmark.plans import data_queries
+from driftmark.plans import data_queries, index_queries
 
-QUERIES = {**data_queries.QUERIES}
-ORACLES = {**data_queries.ORACLES}
+QUERIES = {**data_queries.QUERIES, **index_queries.QUERIES}
+ORACLES = {**data_queries.ORACLES, **index_queries.ORACLES}
