@@ -15,7 +15,7 @@ def canonical_uuid(c: Column) -> Column:
 
     Taken as spellings: any case, padding, braces, a ``urn:uuid:`` prefix, hyphens left out. Null stays null.
     """
-    digits = F.regexp_replace(F.regexp_replace(F.lower(c), f"^{PADDING}+|{PADDING}+$", ""), r"^(urn:)?(uuid:)?|[{}\-]", "")
+    digits = F.regexp_replace(F.regexp_replace(F.lower(c), f"^{PADDING}+|{PADDING}+$", ""), r"^urn:uuid:|^urn:|^uuid:|[{}\-]", "")
     spelled = F.regexp_replace(digits, r"^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$", "$1-$2-$3-$4-$5")
     return F.when(c.rlike(CANONICAL), c).otherwise(F.when(spelled.rlike(CANONICAL), spelled))
 

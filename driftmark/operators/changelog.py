@@ -24,8 +24,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from driftmark.sources.files import Folder
 
 UPSERT, DELETE = "upserted", "deleted"
-#: How a run is stored. ``dead`` sorts a delete after an upsert of the same sequence.
-_KEY, _SEQ, _DEAD = "dm_key", "dm_seq", "dm_dead"
+#: How a run is stored. ``dead`` sorts a delete after an upsert of the same sequence; ``tie`` is a hash of the
+#: payload, so that equal changes with different payloads resolve alike in whatever order runs are merged.
+_KEY, _SEQ, _DEAD, _TIE = "dm_key", "dm_seq", "dm_dead", "dm_tie"
 
 
 class ConcurrentCommit(RuntimeError):
@@ -48,7 +49,7 @@ class ChangeStore:
     Order is by ``sequence`` alone: arrival, repetition and the order of runs do not matter. A change is
     valid when its key and sequence are non-null and its operation is exactly ``upserted`` or ``deleted``;
     others are ignored. Of changes with the same key and sequence a delete wins over an upsert, and equal
-    ones count once (the payload that sorts last by its JSON text stays). Empty batches make empty runs.
+    ones count once (of different payloads the one with the greatest hash stays). Empty batches make empty runs.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, fan_in: int = 8) -> None:
@@ -87,10 +88,10 @@ class ChangeStore:
         rows = rows.filter(F.col(_KEY).isNotNull() & F.col(_SEQ).isNotNull() & F.col("op").isin(UPSERT, DELETE))
         rank: list[Column] = [F.col(_SEQ), (F.col("op") == DELETE).alias(_DEAD)]
         if spec.payload:
-            rank.append(F.to_json("payload").alias("tie"))
-        values = [F.col(_SEQ), (F.col("op") == DELETE).alias(_DEAD)] + ([F.col("payload")] if spec.payload else [])
+            rank.append(F.xxhash64(F.to_json("payload")).alias(_TIE))
+        values = [*rank, F.col("payload")] if spec.payload else rank
         last = rows.groupBy("run", _KEY).agg(F.max_by(F.struct(*values), F.struct(*rank)).alias("c"))
-        flat = last.select("run", _KEY, f"c.{_SEQ}", f"c.{_DEAD}", *([f"c.payload.{c}" for c in spec.payload]))
+        flat = last.select("run", _KEY, f"c.{_SEQ}", f"c.{_DEAD}", *([f"c.{_TIE}"] if spec.payload else []), *([f"c.payload.{c}" for c in spec.payload]))
         names = [f"{batch}-{i:03d}" for i in range(runs)]
         self._write(flat, names)
         schema = flat.drop("run").schema.json()
@@ -129,7 +130,7 @@ class ChangeStore:
 
     def current(self) -> DataFrame:
         """The rows that are live: the last change of each key, where that is an upsert."""
-        return self.merged().filter(~F.col(_DEAD)).drop(_DEAD)
+        return self.merged().filter(~F.col(_DEAD)).drop(_DEAD, _TIE)
 
     def compact(self, force: bool = False) -> bool:
         """Merge all runs into one once there are more than ``fan_in``; tombstones go, as nothing is below."""
@@ -182,7 +183,7 @@ def _merge_bucket(root: str, runs: list[str], bucket: int, schema: Any, rows: in
                 rest, following[i] = following[i], next(sources[i], None)
             heads[i] = rest
         t = pa.Table.from_batches(part).combine_chunks()
-        order = pc.sort_indices(t, sort_keys=[(_KEY, "ascending"), (_SEQ, "ascending"), (_DEAD, "ascending")])
+        order = pc.sort_indices(t, sort_keys=[(c, "ascending") for c in (_KEY, _SEQ, _DEAD, _TIE) if c in schema.names])
         t = t.take(order)
         key = t.column(_KEY).combine_chunks()
         if len(key):

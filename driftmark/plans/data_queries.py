@@ -136,7 +136,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_
 def _uuid_sql(c: str) -> str:
     """The canonical spelling in DuckDB's SQL."""
     pad = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
-    bare = f"regexp_replace(regexp_replace(lower({c}), '^{pad}+|{pad}+$', '', 'g'), '^(urn:)?(uuid:)?|[{{}}\\-]', '', 'g')"
+    bare = f"regexp_replace(regexp_replace(lower({c}), '^{pad}+|{pad}+$', '', 'g'), '^urn:uuid:|^urn:|^uuid:|[{{}}\\-]', '', 'g')"
     hexes = "([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})"
     return f"(CASE WHEN regexp_full_match({bare}, '{hexes}') THEN regexp_replace({bare}, '^{hexes}$', '\\1-\\2-\\3-\\4-\\5') END)"
 
