@@ -154,4 +154,6 @@ def pack(texts: DataFrame, vocabulary: str, config: PackConfig | None = None) ->
         return pa.table({"sequence_id": pa.array(base + sequence, pa.int64()), "slot": pa.array(slot, pa.int32()), "doc_id": doc.take(pa.array(source)), "piece_no": pa.array(number, pa.int32()), "token_start": pa.array(number * full, pa.int64()), "n_tokens": pa.array(length, pa.int32())})
 
     dealt = counts.withColumn("part", F.pmod(F.xxhash64("doc_id", "salt"), F.lit(groups)))
-    return dealt.groupBy("part").applyInArrow(pack_group, PACKED)
+    # A number of partitions of its own: the rows are few bytes, so AQE would merge all groups into one task.
+    spread = dealt.repartition(min(2 * groups, 20_000), "part")
+    return spread.groupBy("part").applyInArrow(pack_group, PACKED)
