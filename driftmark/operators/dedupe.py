@@ -28,10 +28,14 @@ def first_copies(df: DataFrame, id_columns: Sequence[str], order_columns: Sequen
     rows costs no more than any other.
     """
     names = [f"k{i}" for i in range(len(id_columns))]
-    order = _order(order_columns)
-    keyed = df.select(*[k.alias(n) for k, n in zip(_keys(df, id_columns), names)], order.alias("o")).dropna(subset=names)
-    kept = keyed.groupBy(*names).agg(F.min_by("o", "o").alias("o"))
-    return kept.select("o.*")
+    keys = [k.alias(n) for k, n in zip(_keys(df, id_columns), names)]
+    if len(order_columns) == 1 and dict(df.dtypes)[order_columns[0]] in ("int", "bigint", "timestamp", "date", "double"):
+        # A struct of one fixed-width column is that column, which a hash aggregation can update in place.
+        keyed = df.select(*keys, F.col(f"`{order_columns[0]}`").alias("o")).dropna(subset=names)
+        any_null = F.count_if(F.col("o").isNull()) > 0
+        return keyed.groupBy(*names).agg(F.when(~any_null, F.min_by("o", "o")).alias("o0")).select("o0")
+    keyed = df.select(*keys, _order(order_columns).alias("o")).dropna(subset=names)
+    return keyed.groupBy(*names).agg(F.min_by("o", "o").alias("o")).select("o.*")
 
 
 def redundant_copies(df: DataFrame, id_columns: Sequence[str], order_columns: Sequence[str]) -> DataFrame:

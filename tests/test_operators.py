@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from driftmark.functions import text as T
 from driftmark.functions import vectors as V
 from driftmark.operators import diffing, metrics
-from driftmark.operators.chunking import ChunkingConfig, canonical, chunk, chunk_documents, digest
+from driftmark.operators.chunking import ChunkingConfig, canonical, chunk, chunk_documents, chunk_texts, digest
 from driftmark.operators.embedding import EmbeddingError, FailingProvider, HashedWords, PermanentEmbeddingError, RemoteProvider, RetryPolicy, TransientEmbeddingError, check_vectors, create_provider, embed_documents, embed_with_retries
 from driftmark.settings import Settings, SettingsError
 
@@ -46,7 +46,7 @@ def test_long_paragraphs_are_cut():
     assert all(len(t) <= 200 for t in texts(long)) and " ".join(texts(long)) == long
     words = " ".join(f"word{i}" for i in range(80))
     assert " ".join(texts(words)) == words and max(map(len, texts(words))) <= 200
-    assert [len(t) for t in texts("q" * 450)] == [200, 200, 50]
+    assert [len(t) for t in chunk_texts("q" * 450, SMALL)] == [200, 200, 50]
 
 
 def test_repeated_chunks_count_once():
@@ -179,6 +179,4 @@ def test_merge_small_matches_the_chunker(spark):
     rng = random.Random(3)
     docs = ["\n\n".join("w" * rng.choice([1, 5, 30, 39, 40, 90]) for _ in range(rng.randrange(8))) for _ in range(60)]
     got = spark.createDataFrame([(d,) for d in docs], "c string").select(T.merge_small(T.paragraphs(F.col("c")), 40).alias("m")).collect()
-    from driftmark.operators.chunking import chunk_texts
-
     assert [r["m"] for r in got] == [list(chunk_texts(d, SMALL)) for d in docs]
