@@ -107,7 +107,7 @@ def _good(c: str) -> bool:
         return o >= 0xA0
     if o < 0x180:
         return c.lower() in "ąćęłńśźżœÿ" or c == "Ÿ"
-    return 0x300 <= o <= 0x36F or 0x410 <= o <= 0x44F or o in (0x401, 0x451) or 0x2000 <= o <= 0x2044 or 0x20A0 <= o <= 0x20BF or 0x2100 <= o <= 0x23FF or 0x2500 <= o <= 0x27BF or _japanese(c) or o in (0xFE0E, 0xFE0F, 0xFEFF, 0xFFFD) or 0x1F000 <= o <= 0x1FAFF
+    return 0x300 <= o <= 0x36F or 0x400 <= o <= 0x45F or o in (0x490, 0x491) or 0x2000 <= o <= 0x2044 or 0x20A0 <= o <= 0x20BF or 0x2100 <= o <= 0x23FF or 0x2500 <= o <= 0x27BF or _japanese(c) or o in (0xFE0E, 0xFE0F, 0xFEFF, 0xFFFD) or 0x1F000 <= o <= 0x1FAFF
 
 
 def _decode_spans(text: str, codec: str, lenient: bool) -> str:
@@ -146,8 +146,8 @@ def _decode_japanese(text: str, codec: str, right: str, lenient: bool) -> str:
         except UnicodeDecodeError:
             return m.group()
         full = [c for c in got if not c.isascii()]
-        sound = all(_japanese(c) and not "｡" <= c <= "ﾟ" for c in full) and any(map(_kana, full))
-        return got if sound and (len(full) >= 4 or lenient) else m.group()
+        sound = all(_japanese(c) and not "｡" <= c <= "ﾟ" for c in full)
+        return got if sound and full and (lenient or len(full) >= 4 and any(map(_kana, full))) else m.group()
 
     return _japanese_spans(codec, right).sub(repaired, text)
 
@@ -195,8 +195,9 @@ PAIRS = tuple((group, right, wrong) for group, rights in RIGHT.items() for right
 
 
 @lru_cache(maxsize=500_000)
-def _through(word: str, pair: tuple[str, str, str]) -> str | None:
-    """``word`` read with the right one of two single-byte encodings, if that gives a word of a language."""
+def _through(word: str, pair: tuple[str, str, str], lenient: bool = False) -> str | None:
+    """``word`` read with the right one of two single-byte encodings, if that gives a word of a language;
+    ``lenient`` takes short words, too."""
     group, right, wrong = pair
     if (raw := _bytes(word, wrong)) is None:
         return None
@@ -210,7 +211,7 @@ def _through(word: str, pair: tuple[str, str, str]) -> str | None:
     found = {c.lower() for c in changed if c.isalpha()}
     if not found:
         return got if group == "latin" and all(c in _SIGNS for c in changed) else None
-    if group == "ru" and (not found & _LETTERS["ru"] or sum(c.isalpha() for c in changed) < 3) or group == "pl" and not found & _LETTERS["pl"]:
+    if group == "ru" and (not found & _LETTERS["ru"] or sum(c.isalpha() for c in changed) < 3 and not lenient) or group == "pl" and not found & _LETTERS["pl"]:
         return None
     return got if any(found <= own for own in _LETTERS.values()) else None
 
@@ -310,6 +311,7 @@ def restore(text: str) -> tuple[bool, int, str, str | None] | None:
         if pair and (got := _through(w, pair)):
             bad[w] = (got, f"{pair[1]} as {pair[2]}")
     names = sorted({n for _, v in bad.values() for n in v.split(", ")})
+    two_byte = [n.split(" as ") for n in names if n.startswith(("euc_jp", "shift_jis"))]
     codecs = sorted({n.split(" as ")[1] for n in names if n.startswith("utf-8 as ")} & set(WRONG))
     out, n = [], 0
     for line in re.split("(\n)", shown):
@@ -318,11 +320,13 @@ def restore(text: str) -> tuple[bool, int, str, str | None] | None:
         for p in parts:
             if p in bad:
                 n, p = n + 1, bad[p][0] or p
+                for right, codec in two_byte:
+                    p = _decode_japanese(p, codec, right, True)
             elif garbled and not p.isascii():  # beside garbled words less evidence is enough
                 for codec in codecs:
                     p = _decode_spans(p, codec, True)
                 if pair and not codecs and not any(map(_japanese, p)):
-                    p = _through(p, pair) or p
+                    p = _through(p, pair, True) or p
             out.append(p)
     done = "".join(out)
     lost = "�" in done or _CONTROL.search(done) is not None
