@@ -499,3 +499,97 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = new_folder(spark, "stream-out"), new_folder(spark, "stream-checkpoint")
     once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("messages"))
+
+
+# Edits, latencies, replays
+
+
+@query(f"""{_LIVE}, pa AS (SELECT document_id, {clean.paragraphs_sql('content')} AS ps FROM live WHERE content IS NOT NULL),
+al AS (SELECT 'b' || document_id AS document_id, array_to_string(ps, chr(10) || chr(10)) AS content FROM pa UNION ALL
+  SELECT 'e' || document_id, array_to_string(list_transform(ps, lambda p, i: CASE WHEN md5(document_id || ':' || (i - 1))[1:2] < '1a' THEN p || ' It was revised.' ELSE p END), chr(10) || chr(10)) FROM pa), {clean.chunker_sql('al')},
+b AS (SELECT document_id[2:] AS document_id, content_hash FROM k WHERE document_id[1] = 'b'), e AS (SELECT document_id[2:] AS document_id, content_hash FROM k WHERE document_id[1] = 'e'),
+t AS (SELECT e.document_id, count(*) AS total, count(*) FILTER (b.document_id IS NULL) AS embedded FROM e LEFT JOIN b ON b.document_id = e.document_id AND b.content_hash = e.content_hash GROUP BY 1)
+SELECT count(*) FILTER (embedded > 0) AS documents_edited, CAST(sum(total) FILTER (embedded > 0) AS BIGINT) AS chunks_in_edited, CAST(sum(embedded) AS BIGINT) AS chunks_embedded, round(1 - sum(embedded) / sum(total) FILTER (embedded > 0), 6) AS avoided FROM t""")
+def reembed_after_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the paragraphs is rewritten: what of the edited documents has to be embedded again."""
+    from driftmark.operators import workload
+
+    parts = _live(spark, sf_dir).filter("content IS NOT NULL").select("document_id", text.paragraphs(F.col("content")).alias("ps"))
+    edited = workload.rewrite(F.col("ps"), lambda i: workload.drawn(F.col("document_id"), i, "1a"), lambda p: F.concat(p, F.lit(" It was revised.")))
+    before = chunk_documents(parts.select("document_id", workload.join(F.col("ps")).alias("content")))
+    after = chunk_documents(parts.select("document_id", workload.join(edited).alias("content")))
+    per = diffing.summarize(diffing.diff_chunks(after, before)).select("document_id", F.col("to_embed").alias("e"), (F.col("to_embed") + F.col("to_reuse")).alias("t"))
+    hit = F.col("e") > 0
+    total = F.sum(F.when(hit, F.col("t")))
+    return per.agg(F.count_if(hit).alias("documents_edited"), total.alias("chunks_in_edited"), F.sum("e").alias("chunks_embedded"), F.round(1 - F.sum("e") / total, 6).alias("avoided"))
+
+
+@query(f"""pa AS (SELECT document_id, {clean.paragraphs_sql('content')} AS ps FROM d WHERE content IS NOT NULL)
+SELECT document_id, array_to_string(CASE WHEN len(ps) > 1 THEN list_concat([ps[2], ps[1]], ps[3:]) ELSE ps END, '|') AS swapped, array_to_string(list_prepend('New.', ps), '|') AS inserted, array_to_string(ps[2:], '|') AS removed FROM pa""")
+def paragraph_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its first two paragraphs exchanged, one put in front, and the first removed."""
+    from driftmark.operators import workload
+
+    parts = clean.documents(spark, sf_dir).filter("content IS NOT NULL").select("document_id", text.paragraphs(F.col("content")).alias("ps"))
+    show = lambda c: F.array_join(c, "|")
+    return parts.select("document_id", show(workload.swap(F.col("ps"), 0, 1)).alias("swapped"), show(workload.insert(F.col("ps"), F.lit(0), F.lit("New."))).alias("inserted"), show(workload.remove(F.col("ps"), F.lit(0))).alias("removed"))
+
+
+@query("""SELECT d.document_id, (epoch_us(min(o.published_at)) - epoch_us(d.updated_at)) / 1e6 AS to_publish, (epoch_us(s.indexed_at) - epoch_us(d.updated_at)) / 1e6 AS to_index
+FROM d JOIN o ON o.document_id = d.document_id AND o.document_version = d.version JOIN s ON s.document_id = d.document_id GROUP BY d.document_id, d.updated_at, s.indexed_at""")
+def stage_latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the change of a document to its event and to its index."""
+    docs = clean.documents(spark, sf_dir).select("document_id", "version", "updated_at")
+    first = clean.outbox(spark, sf_dir).groupBy("document_id", F.col("document_version").alias("version")).agg(F.min("published_at").alias("p"))
+    held = clean.index_state(spark, sf_dir).select("document_id", "indexed_at")
+    both = docs.join(first, ["document_id", "version"]).join(held, "document_id")
+    return both.select("document_id", metrics.lag_seconds(F.col("p"), F.col("updated_at")).alias("to_publish"), metrics.lag_seconds(F.col("indexed_at"), F.col("updated_at")).alias("to_index"))
+
+
+@query("SELECT c.document_id, count(*) FILTER (c.document_version = s.indexed_version) AS embedded, count(*) FILTER (c.document_version IS DISTINCT FROM s.indexed_version) AS kept FROM c JOIN s ON s.document_id = c.document_id GROUP BY 1")
+def embedded_and_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of each document embedded at its indexed version, and kept from earlier ones."""
+    both = clean.chunks(spark, sf_dir).select("document_id", "document_version").join(clean.index_state(spark, sf_dir).select("document_id", "indexed_version"), "document_id")
+    same = F.col("document_version").eqNullSafe(F.col("indexed_version")) & F.col("indexed_version").isNotNull()
+    return both.groupBy("document_id").agg(F.count_if(same).alias("embedded"), F.count_if(~same).alias("kept"))
+
+
+@query("SELECT count(*) AS documents, count(*) FILTER (s.indexed_version IS DISTINCT FROM d.version OR s.deleted IS DISTINCT FROM d.deleted) AS out_of_step FROM d LEFT JOIN s ON s.document_id = d.document_id")
+def in_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = clean.documents(spark, sf_dir).select("document_id", "version", "deleted")
+    held = clean.index_state(spark, sf_dir).select("document_id", "indexed_version", F.col("deleted").alias("held_deleted"))
+    off = ~F.col("indexed_version").eqNullSafe(F.col("version")) | ~F.col("held_deleted").eqNullSafe(F.col("deleted"))
+    return docs.join(held, "document_id", "left").agg(F.count(F.lit(1)).alias("documents"), F.count_if(off).alias("out_of_step"))
+
+
+@query("SELECT o.document_id, o.document_version, o.created_at = d.updated_at AS same_time FROM o JOIN d ON d.document_id = o.document_id AND d.version = o.document_version")
+def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the events of current versions carry the time of the change."""
+    docs = clean.documents(spark, sf_dir).select("document_id", F.col("version").alias("document_version"), "updated_at")
+    return clean.outbox(spark, sf_dir).join(docs, ["document_id", "document_version"]).select("document_id", "document_version", (F.col("created_at") == F.col("updated_at")).alias("same_time"))
+
+
+@query("SELECT count(DISTINCT document_id) AS documents, count(*) AS events, count(*) FILTER (document_id IS NULL) AS without_document, max(n) AS most FROM (SELECT *, count(*) OVER (PARTITION BY document_id) AS n FROM o)")
+def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = clean.outbox(spark, sf_dir).groupBy("document_id").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.count("document_id").alias("documents"), F.sum("n").alias("events"), F.coalesce(F.sum(F.when(F.col("document_id").isNull(), F.col("n"))), F.lit(0)).alias("without_document"), F.max("n").alias("most"))
+
+
+@query()
+def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest whole run: documents and events streamed through the worker into a new store, then checked."""
+    from driftmark.engine import Engine
+    from driftmark.session import new_folder
+    from driftmark.settings import Settings
+
+    engine = Engine(spark, new_folder(spark, "store"), Settings(embedding_dimension=64, buckets=8))
+    base, folder = engine.store.manifest(), new_folder(spark, "events")
+    docs = clean.documents(spark, sf_dir)
+    every = list(range(engine.store.buckets))
+    engine.store.commit(base, {"documents": (docs, every), "outbox": (clean.outbox(spark, sf_dir).filter("document_id IS NOT NULL"), every)})
+    events = clean.outbox(spark, sf_dir)
+    value = text.event_json(*[F.col(c) for c in ("event_id", "document_id", "event_type", "document_version", "created_at")])
+    events.select(text.event_key(F.col("document_id")).alias("key"), value.alias("value")).write.parquet(folder)
+    w = worker.Worker(engine, worker.read_events(spark, folder), new_folder(spark, "checkpoint"), new_folder(spark, "dead"))
+    w.drain()
+    return engine.verify().groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
