@@ -288,18 +288,49 @@ def write_index(units: DataFrame, config: SearchConfig, n_rows: int, name: str)
     return root
 
 
+#: Up to so many parts their boxes are gathered (96 bytes each); beyond, pairs of parts are not sifted by them.
+MOST_BOXES = 200_000
+
+
+def _boxes(spark: Any, root: str, parts: list[str], config: SearchConfig) -> tuple[np.ndarray, np.ndarray] | None:
+    """The least and greatest projected coordinates of each part: the leaves of the upper kd-tree, as they are."""
+    if not 1 < len(parts) <= MOST_BOXES:
+        return None
+    names = spark.sparkContext.broadcast(parts)
+
+    def measure(batches: Iterator[Any]) -> Iterator[Any]:
+        import pyarrow as pa
+
+        matrix = projection(config)
+        for b in batches:
+            own = b.column(0).to_pylist()
+            x = [_load(root, names.value[n], config, matrix).x for n in own]
+            box = _as_binary(np.array([np.concatenate([p.min(axis=0), p.max(axis=0)]) for p in x], dtype=np.float32))
+            yield pa.record_batch([pa.array(own, pa.int64()), box], names=["n", "box"])
+
+    rows = spark.range(0, len(parts), 1, min(len(parts), 2000)).mapInArrow(measure, "n long, box binary").collect()
+    out = np.array([np.frombuffer(r["box"], dtype=np.float32) for r in sorted(rows, key=lambda r: r["n"])])
+    return out[:, :config.m], out[:, config.m:]
+
+
 def _search(spark: Any, q_root: str, t_root: str, config: SearchConfig) -> DataFrame:
-    """All pairs of parts, one task a few; each loads its two parts from the shared folder."""
+    """All pairs of parts whose boxes are near enough, one task a few; each loads its two parts from the
+    shared folder, so that nothing is shuffled but what was found."""
     same = q_root == t_root
     q_parts, t_parts = _list_parts(q_root), _list_parts(t_root)
-    names = spark.sparkContext.broadcast((q_parts, t_parts))
+    q_boxes = t_boxes = None
+    if config.min_cosine is not None:
+        q_boxes = _boxes(spark, q_root, q_parts, config)
+        t_boxes = q_boxes if same else _boxes(spark, t_root, t_parts, config)
+    names = spark.sparkContext.broadcast((q_parts, t_parts, q_boxes, t_boxes))
+    reach = math.inf if config.min_cosine is None else chi_square_quantile(config.p, config.m) * 2 * (1 - config.min_cosine)
     n_t = len(t_parts)
 
     def run(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
 
         matrix = projection(config)
-        qs, ts = names.value
+        qs, ts, q_box, t_box = names.value
         held: dict[tuple[str, str], Part] = {}
 
         def part(root: str, name: str) -> Part:
@@ -314,6 +345,10 @@ def _search(spark: Any, q_root: str, t_root: str, config: SearchConfig) -> DataF
                 i, j = divmod(n, n_t)
                 if same and j < i:
                     continue
+                if q_box is not None and t_box is not None:
+                    gap = np.maximum(np.maximum(t_box[0][j] - q_box[1][i], q_box[0][i] - t_box[1][j]), 0)
+                    if gap @ gap > reach:
+                        continue
                 q, t = part(q_root, qs[i]), part(t_root, ts[j])
                 if config.min_cosine is not None:
                     r, c, cosine = search_range(q, t, config, same and i == j)
