@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from driftmark.session import ship
 from driftmark.sources.files import Folder
 
 UPSERT, DELETE = "upserted", "deleted"
@@ -114,6 +115,7 @@ class ChangeStore:
         A task owns a bucket and reads its sorted files in all runs in step, batch by batch, so nothing is
         shuffled and memory is one batch per run, whatever the size of the bucket.
         """
+        ship(self.spark)
         m = self.manifest()
         if m["schema"] is None:
             return self.spark.createDataFrame([], T.StructType([T.StructField(_KEY, T.StringType()), T.StructField(_SEQ, T.LongType()), T.StructField(_DEAD, T.BooleanType())]))

@@ -12,6 +12,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftmark.session import ship
+
 _BLANK = re.compile(r"\n\s*\n")
 _STOP = re.compile(r"(?<=[.!?])\s+")
 CHUNKS = "document_id string, position int, content string, content_hash string"
@@ -97,6 +99,7 @@ def chunk_documents(documents: DataFrame, config: ChunkingConfig | None = None)
     chunks. Other columns are ignored; repeated rows are chunked each.
     """
     config = config or ChunkingConfig()
+    ship(documents.sparkSession)
 
     def run(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa

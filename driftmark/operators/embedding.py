@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from driftmark.functions.text import STOP_WORDS
 from driftmark.operators.chunking import canonical
+from driftmark.session import ship
 
 _WORD = re.compile(r"\w+")
 _STOP = frozenset(STOP_WORDS)
@@ -179,6 +180,7 @@ def embed_documents(wanted: DataFrame, provider: Any, policy: RetryPolicy | None
     error and attempts instead of vectors; it does not fail the batch.
     """
     policy = policy or RetryPolicy()
+    ship(wanted.sparkSession)
     grouped = wanted.groupBy("document_id").agg(F.sort_array(F.collect_list(F.struct("content_hash", "content"))).alias("chunks"))
 
     def run(batches: Iterator[Any]) -> Iterator[Any]:
@@ -200,6 +202,7 @@ def embed_documents(wanted: DataFrame, provider: Any, policy: RetryPolicy | None
 
 def embed_texts(rows: DataFrame, provider: Any, text: str, *keep: str) -> DataFrame:
     """The rows' ``keep`` columns with ``embedding`` of their text, row by row in Arrow batches."""
+    ship(rows.sparkSession)
     kept = rows.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("dm_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]) + ", embedding array<float>"
 

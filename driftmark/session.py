@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: The folders made for local sessions that name none.
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(app: str = "driftmark", cores: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -49,6 +52,21 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per session, wherever the driver found it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="driftmark-code-")  # of the driver; Spark serves the file to executors
+    path = f"{folder}/driftmark-code.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f"{home.name}/{f.relative_to(home)}")
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
     return f"{shared_root(spark)}/driftmark/{name}-{uuid.uuid4().hex}"

@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftmark.session import ship
 from driftmark.sources.files import Folder
 
 FORMAT = 1
@@ -32,6 +33,7 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, dimension: int = 384, buckets: int = 16) -> None:
         self.spark, self.root = spark, root.rstrip("/")
         self.folder = Folder(spark, self.root)
+        ship(spark)
         first = {"format": FORMAT, "version": 0, "dimension": dimension, "buckets": buckets, "tables": {t: {} for t in SCHEMAS}, "batches": [], "sequence": 0}
         if not self.folder.exists(self._name(0)):
             self.folder.create(self._name(0), first)
