@@ -18,6 +18,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftmark.session import ship
+
 SCHEMA = "doc_id long, recoverable boolean, n_spans int, encodings string, restored string"
 #: Encodings that text may wrongly have been decoded with. ``cp1252`` stands for ISO 8859-1 as well.
 WRONG = ("cp1252", "mac_roman", "cp1251", "cp437", "cp850", "cp1250", "iso8859_2", "koi8_r", "cp866", "iso8859_5", "iso8859_15", "cp1254", "cp1257", "cp852", "mac_cyrillic", "mac_latin2")
@@ -342,6 +344,8 @@ def find_garbled(texts: DataFrame) -> DataFrame:
     order. Repeated rows are judged each; other columns are ignored.
     """
 
+    ship(texts.sparkSession)
+
     def judge_all(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
 

@@ -15,6 +15,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftmark.session import ship
+
 INLINE = "a|abbr|b|big|cite|code|del|em|font|i|ins|kbd|mark|q|s|samp|small|span|strike|strong|sub|sup|tt|u|var"
 _INLINE_TAG = re.compile(rf"</?(?:{INLINE})(?:\s[^<>]*)?/?>", re.I)
 _TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9:-]*(?:\s[^<>]*)?/?>|<!--.*?-->", re.S)
@@ -154,6 +156,7 @@ def find_leaks(texts: DataFrame, items: DataFrame, min_words: int = 13, items_pe
     longest run. Runs do not reach across documents.
     """
     spark = texts.sparkSession
+    ship(spark)
     wanted = items.select(F.col("item_id").cast("long"), "item_text", "answer").filter("item_id IS NOT NULL AND item_text IS NOT NULL").distinct()
     passes = max(1, -(-wanted.count() // items_per_pass))
     out: DataFrame | None = None

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftmark.session import new_folder
+from driftmark.session import new_folder, ship
 
 #: The split pattern of the public byte-level vocabularies.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -58,6 +58,8 @@ def count_tokens(texts: DataFrame, vocabulary: str) -> DataFrame:
     The whole text is encoded where it lies. ``salt`` tells rows with equal ids apart.
     """
 
+    ship(texts.sparkSession)
+
     def count(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
 

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftmark.session import new_folder
+from driftmark.session import new_folder, ship
 
 FOUND = "query long, neighbour long, cosine float"
 
@@ -390,6 +390,7 @@ def nearest(rows: DataFrame, config: SearchConfig, id_column: str = "id", vector
     row costs: of each group the k + 1 least ids are enough to name anyone's neighbours. They are found with a
     row_number limit that applies before the shuffle, and a group is joined back by its representative.
     """
+    ship(rows.sparkSession)
     k = config.k
     members = unit_rows(usable(rows, id_column, vector_column, config.width), config)
     ranked = members.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy("id"))).filter(F.col("n") <= k + 1)
