@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark(tmp_path_factory):
     from driftmark.session import local_session
 
-    session = local_session("tests", 8, 4, spark__checkpoint__dir="file://" + str(tmp_path_factory.mktemp("shared")))
+    session = local_session("tests", 8, 2, spark__checkpoint__dir="file://" + str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
