@@ -16,7 +16,7 @@ from driftmark.operators import mutations, reconciling, searching, verifying
 from driftmark.operators.chunking import ChunkingConfig
 from driftmark.operators.embedding import RetryPolicy, TransientEmbeddingError, create_provider
 from driftmark.operators.indexing import IndexPlan
-from driftmark.session import materialize
+from driftmark.session import as_uri, materialize
 from driftmark.settings import Settings
 from driftmark.sources.files import Folder
 from driftmark.sources.store import ConcurrentModificationError, SnapshotStore
@@ -46,7 +46,7 @@ class Engine:
     def __init__(self, spark: SparkSession, root: str, settings: Settings | None = None, provider: Any = None) -> None:
         self.spark, self.settings = spark, settings or Settings()
         self.provider = provider or create_provider(self.settings.embedding_provider, self.settings.embedding_dimension, self.settings.embedding_failure_rate)
-        self.store = SnapshotStore(spark, root, self.provider.dimension, self.settings.buckets)
+        self.store = SnapshotStore(spark, as_uri(root), self.provider.dimension, self.settings.buckets)
         self.chunking = ChunkingConfig(self.settings.min_chars, self.settings.max_chars)
         self.policy = RetryPolicy(self.settings.max_retries, self.settings.retry_base_delay_seconds)
         self.locks = Folder(spark, f"{self.store.root}/locks")

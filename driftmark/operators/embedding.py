@@ -10,6 +10,7 @@ import time
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
@@ -56,6 +57,13 @@ def unit(vector: list[float]) -> list[float]:
     return [v / length for v in vector]
 
 
+@lru_cache(maxsize=100_000)
+def _slot(word: str, dimension: int) -> tuple[int, float]:
+    """The dimension that a word counts for, and its sign."""
+    h = hashlib.sha256(word.encode()).digest()
+    return int.from_bytes(h[:8], "big") % dimension, 1.0 if h[8] % 2 else -1.0
+
+
 @dataclass(frozen=True)
 class HashedWords:
     """A deterministic offline provider: words hashed to signed dimensions, damped counts, unit length."""
@@ -73,9 +81,8 @@ class HashedWords:
         plain = canonical(text)
         out = [0.0] * self.dimension
         for word, n in Counter(w for w in _WORD.findall(plain.lower()) if w not in _STOP).items():
-            h = hashlib.sha256(word.encode()).digest()
-            sign = 1.0 if h[8] % 2 else -1.0
-            out[int.from_bytes(h[:8], "big") % self.dimension] += sign * (1.0 + math.log(n))
+            at, sign = _slot(word, self.dimension)
+            out[at] += sign * (1.0 + math.log(n))
         if not any(out):  # no words, or they cancelled out: a vector that the whole text seeds
             generator = random.Random(hashlib.sha256(plain.encode()).digest())
             out = [generator.gauss(0.0, 1.0) for _ in out]

@@ -472,6 +472,14 @@ def indexer_next_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plan(spark, sf_dir).chunks.groupBy("document_id", "document_version").agg(F.count(F.lit(1)).alias("n"), F.max("position").alias("last_position"))
 
 
+@query(f"""{_DESIRED} SELECT d.document_id, CASE WHEN d.deleted THEN 'deleted' ELSE 'indexed' END AS outcome, d.version, count(k.document_id) AS chunks_embedded FROM d LEFT JOIN k ON k.document_id = d.document_id GROUP BY ALL""")
+def indexer_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents indexed into an empty index, as after a burst of new ones."""
+    none = clean.chunks(spark, sf_dir, "embedding").filter(F.lit(False)).drop("id")
+    plan = indexing.IndexPlan(clean.documents(spark, sf_dir), clean.index_state(spark, sf_dir).filter(F.lit(False)), none, HashedWords(384), _now(), policy=RetryPolicy(0))
+    return plan.results.select("document_id", "outcome", "version", "chunks_embedded")
+
+
 @query("""stc AS (SELECT count(*) AS n FROM d LEFT JOIN s ON d.document_id = s.document_id WHERE s.indexed_version IS NULL OR s.indexed_version < d.version),
 oc AS (SELECT count(*) AS n FROM c LEFT JOIN d ON d.document_id = c.document_id WHERE d.document_id IS NULL OR d.deleted), """ + _STALE + """
 SELECT stc.n AS stale_documents, least((SELECT count(*) FROM stl), 1000) AS requeued, oc.n AS orphan_chunks FROM stc, oc""")

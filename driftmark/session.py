@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -42,14 +43,22 @@ def shared_root(spark: SparkSession) -> str:
     Only where a local session leaves it unset (tests, a laptop) a folder is made, one per session.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
+    if not root and (held := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
+        root = str(held.get())
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
         root = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="driftmark-")
         _LOCAL[spark.sparkContext.applicationId] = root
-    if "://" not in root:
-        root = "file://" + os.path.abspath(root)
-    return root.rstrip("/")
+    return as_uri(root)
+
+
+def as_uri(path: str) -> str:
+    """A path with scheme and authority, as Spark and readers in Python workers both take it."""
+    if "://" not in path:
+        scheme, _, rest = path.rpartition(":/")
+        path = f"{scheme}:///{rest}" if scheme else "file://" + os.path.abspath(path)
+    return path.rstrip("/")
 
 
 def ship(spark: SparkSession) -> None:

@@ -208,3 +208,12 @@ def test_cascade_reaches_a_fixpoint(spark):
     got = {tuple(r) for r in cascade(spark, tables, edges).collect()}
     assert got == {("b", "a", "9", "missing", 0, 2), ("c", "b", "b2", "inherited", 1, 1), ("c", "b", "b7", "missing", 0, 1), ("d", "c", "c2", "inherited", 2, 2), ("d", "c", "c3", "inherited", 1, 1)}
     assert cascade(spark, {t: df.limit(0) for t, df in tables.items()}, edges).count() == 0
+
+
+def test_shared_folder_as_uri(spark, tmp_path):
+    from driftmark.session import as_uri, fresh_name, shared_root
+
+    assert as_uri("/a/b/") == "file:///a/b" == as_uri("file:/a/b") == as_uri("file:///a/b")
+    assert as_uri("hdfs://host:9000/x") == "hdfs://host:9000/x" and as_uri("hdfs:/x") == "hdfs:///x"
+    assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert fresh_name(spark.createDataFrame([(1, 2)], "__K int, ___k int"), "k") == "____k"
