@@ -7,6 +7,7 @@ holds by key and offset, so a half-written run does no harm.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import Any
 
@@ -75,11 +76,16 @@ class IncrementalJob:
         self.folder.create(f"done-{run:09d}.json", state)
         return state
 
-    def run(self, log: DataFrame, sink: Sink, process: Callable[[DataFrame], DataFrame]) -> int:
-        """Plan or replay, process, write to the sink, commit. Returns the number of the run."""
+    def attempt(self, log: DataFrame, sink: Sink, process: Callable[[DataFrame], DataFrame]) -> int:
+        """Plan or replay, process what the sink lacks of the plan, write it. Returns the number of the run."""
         run = self.plan(log, sink.held())
         todo = pending(self.planned(run).select("key", "offset"), sink.held())
         sink.write(process(todo), run)
+        return run
+
+    def run(self, log: DataFrame, sink: Sink, process: Callable[[DataFrame], DataFrame]) -> int:
+        """An attempt and its commit. Returns the number of the run."""
+        run = self.attempt(log, sink, process)
         self.commit(run)
         return run
 
@@ -103,7 +109,9 @@ class Sink:
         return latest(self.rows(), F.col("key"), F.col("offset"))
 
     def write(self, rows: DataFrame, run: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/part={run:09d}")
+        """Add ``rows`` as a part of their own: an attempt never touches what an earlier one of its run wrote."""
+        earlier = sum(n.startswith(f"part={run:09d}") for n in self.folder.names())
+        rows.write.parquet(f"{self.root}/part={run:09d}-{earlier:03d}-{uuid.uuid4().hex[:12]}")
 
 
 def message_positions(log: DataFrame, partition: str, position: str, committed: dict[int, int]) -> DataFrame:

@@ -64,12 +64,14 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that fails after half its writes is replayed; per offset, how many records the sink then holds."""
+    """A run that fails after half its writes, and again between its last write and its commit, is replayed; per
+    offset, how many records the sink then holds."""
     root = new_folder(spark, "incremental")
     job, sink = incremental.IncrementalJob(spark, f"{root}/job"), incremental.Sink(spark, f"{root}/sink", "key string, offset long")
     log = _log(spark, sf_dir)
     run = job.plan(log, sink.held())
-    sink.write(job.planned(run).select("key", "offset").filter("offset < 5"), 0)  # the lost driver's part of the work
+    sink.write(job.planned(run).select("key", "offset").filter("offset < 5"), run)  # the lost driver's part of the work
+    job.attempt(log, sink, lambda rows: rows)  # the next driver wrote the rest and was lost before its commit
     job.run(log, sink, lambda rows: rows)
     job.run(log, sink, lambda rows: rows)
     return sink.rows().groupBy(F.col("offset").alias("version")).agg(F.count(F.lit(1)).alias("documents"))

@@ -161,6 +161,18 @@ def test_failed_run_is_replayed_not_planned_anew(spark):
     assert IncrementalJob(spark, f"{root}/job", 2).open_run() is None
 
 
+def test_replay_after_a_lost_commit_keeps_the_records(spark):
+    root = new_folder(spark, "inc")
+    job, sink = IncrementalJob(spark, f"{root}/job", 2), Sink(spark, f"{root}/sink", LOG)
+    log = spark.createDataFrame([("a", 1), ("b", 3)], LOG)
+    run = job.plan(log, sink.held())
+    sink.write(job.planned(run).select("key", "offset"), run)  # all written, the driver died before the commit
+    assert job.open_run() == run and job.run(log, sink, lambda df: df) == run
+    assert _held(sink) == [("a", 1), ("b", 3)] and job.open_run() is None
+    done = job.folder.load(f"done-{run:09d}.json")["partitions"]
+    assert sum(p["records"] for p in done.values()) == len(_held(sink))
+
+
 def test_empty_log_and_nulls(spark):
     root = new_folder(spark, "inc")
     job, sink = IncrementalJob(spark, f"{root}/job", 2), Sink(spark, f"{root}/sink", LOG)
