@@ -51,6 +51,7 @@ class ChangeStore:
     valid when its key and sequence are non-null and its operation is exactly ``upserted`` or ``deleted``;
     others are ignored. Of changes with the same key and sequence a delete wins over an upsert, and equal
     ones count once (of different payloads the one with the greatest hash stays). Empty batches make empty runs.
+    As an older upsert may come at any time, a deleted key keeps its tombstone for good, also when compacted.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, fan_in: int = 8) -> None:
@@ -135,12 +136,12 @@ class ChangeStore:
         return self.merged().filter(~F.col(_DEAD)).drop(_DEAD, _TIE)
 
     def compact(self, force: bool = False) -> bool:
-        """Merge all runs into one once there are more than ``fan_in``; tombstones go, as nothing is below."""
+        """Merge all runs into one once there are more than ``fan_in``; tombstones stay, as older changes may follow."""
         seen = list(self.manifest()["runs"])
         if len(seen) < 2 or (len(seen) <= self.fan_in and not force):
             return False
         name = f"{uuid.uuid4().hex[:12]}-all"
-        self._write(self.merged(seen).filter(~F.col(_DEAD)).withColumn("run", F.lit(0)), [name])
+        self._write(self.merged(seen).withColumn("run", F.lit(0)), [name])
 
         def swap(m: dict[str, Any]) -> dict[str, Any]:
             if m["runs"][: len(seen)] != seen:

@@ -71,6 +71,22 @@ def test_change_store_against_brute_force(spark):
     assert {(r["dm_key"], r["dm_seq"]) for r in store.current().collect()} == want
 
 
+def test_older_upsert_after_compaction_revives_nothing(spark):
+    store = _store(spark, buckets=2)
+    rows = [[(U[0], 5, "deleted"), (U[1], 1, "upserted")], [(U[1], 2, "upserted")], [(U[0], 3, "upserted")], [(U[0], 5, "upserted")], [(U[0], 6, "upserted")]]
+    runs = [spark.createDataFrame([(k, n, op, 0, None, None, None) for k, n, op in r], CHANGES) for r in rows]
+    store.append(runs[0], _spec())
+    store.append(runs[1], _spec())
+    live = lambda: sorted((r["dm_key"], r["dm_seq"]) for r in store.current().collect())
+    for late in runs[2:4]:
+        assert store.compact(force=True) and len(store.manifest()["runs"]) == 1
+        store.append(late, _spec())
+        assert live() == [(U[1], 2)]
+    assert store.compact(force=True)
+    store.append(runs[4], _spec())
+    assert live() == sorted([(U[0], 6), (U[1], 2)])
+
+
 def test_change_store_empty_and_reopened(spark):
     store = _store(spark, buckets=2)
     assert store.current().count() == 0
