@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +41,10 @@ def parents(df: DataFrame, key: str, version: str, deleted: str, loaded_at: str)
 
 
 def compact_references(refs: Sequence[Reference]) -> DataFrame:
-    """All references as distinct (table, key, period, deleted_matters) with the earliest load.
+    """All references as distinct (table, key, period, deleted_matters) with the earliest and the latest load.
 
-    A row of the result stands for all rows that must get the same reason, so a key that holds a third of
-    a table is a handful of rows before anything is shuffled for the join.
+    The rows that a row of the result stands for differ in nothing but whether they are late, so a key that
+    holds a third of a table is a handful of rows before anything is shuffled for the join.
     """
     out: DataFrame | None = None
     for r in refs:
@@ -51,7 +52,18 @@ def compact_references(refs: Sequence[Reference]) -> DataFrame:
         part = r.rows.select(F.lit(r.name).alias("table_name"), identity(F.col(f"`{r.key}`")).alias("key"), F.date_format(F.col(f"`{r.loaded_at}`"), "yyyy-MM").alias("period"), matters.alias("matters"), F.col(f"`{r.loaded_at}`").alias("t")).filter("key IS NOT NULL")
         out = part if out is None else out.unionByName(part)
     assert out is not None, "at least one reference is needed"
-    return out.groupBy("table_name", "key", "period", "matters").agg(F.min("t").alias("t"))
+    return out.groupBy("table_name", "key", "period", "matters").agg(F.min("t").alias("t"), F.max("t").alias("last_t"))
+
+
+def graded(refs: Sequence[Reference], parent: DataFrame) -> DataFrame:
+    """(``table_name``, ``period``, ``key``, ``reason``), distinct, of all references; ``reason`` is null for
+    those that are no direct orphans. The reasons are those of ``direct_orphans``."""
+    late = lambda t: F.col(t) < F.col("first_loaded_at")
+    always = F.when(F.col("first_loaded_at").isNull() & F.col("deleted").isNull(), MISSING).when(F.col("deleted") & F.col("matters"), DELETED)
+    # Of the rows that one row stands for some may be late and others not: then it has both grades.
+    grades = F.when(always.isNotNull(), F.array(always)).when(late("last_t"), F.array(F.lit(LATE))).when(late("t"), F.array(F.lit(LATE), F.lit(None).cast("string"))).otherwise(F.array(F.lit(None).cast("string")))
+    joined = compact_references(refs).join(parent, "key", "left")
+    return joined.select("table_name", "period", "key", F.explode(grades).alias("reason")).distinct()
 
 
 def direct_orphans(refs: Sequence[Reference], parent: DataFrame) -> DataFrame:
@@ -61,13 +73,7 @@ def direct_orphans(refs: Sequence[Reference], parent: DataFrame) -> DataFrame:
     ``deleted_matters`` holds; ``late``, the row was loaded before its parent first was. Null references
     are no references. Null load times give a null period and are never late. Empty tables give no rows.
     """
-    reason = (
-        F.when(F.col("first_loaded_at").isNull() & F.col("deleted").isNull(), MISSING)
-        .when(F.col("deleted") & F.col("matters"), DELETED)
-        .when(F.col("t") < F.col("first_loaded_at"), LATE)
-    )
-    joined = compact_references(refs).join(parent, "key", "left")
-    return joined.select("table_name", "period", "key", reason.alias("reason")).filter("reason IS NOT NULL").distinct()
+    return graded(refs, parent).filter("reason IS NOT NULL")
 
 
 @dataclass(frozen=True)
@@ -80,7 +86,33 @@ class Edge:
     parent_key: str
 
 
-def cascade(spark: SparkSession, tables: dict[str, DataFrame], edges: Sequence[Edge], max_rounds: int = 64) -> DataFrame:
+def _inherit(state: dict[str, DataFrame], edges: Sequence[Edge]) -> dict[str, DataFrame]:
+    """``state`` with ``depth`` and ``key_name`` of inherited orphans filled in, until no round changes anything."""
+    for n in count():
+        changed: dict[str, DataFrame] = {}
+        for t in state:
+            own = [e for e in edges if e.child == t]
+            # Only what became an orphan in the last round can pass it on.
+            live = [e for e in own if not state[e.parent].filter(F.col("depth") == n).isEmpty()]
+            if not live:
+                continue
+            rows, columns = state[t], state[t].columns
+            depth, why = F.col("depth"), F.col("key_name")
+            for i, e in enumerate(live):
+                by_parent = state[e.parent].filter(F.col(e.parent_key).isNotNull()).groupBy(F.col(e.parent_key).alias(f"p{i}")).agg(F.bool_and(F.col("depth").isNotNull()).alias(f"all{i}"))
+                rows = rows.join(by_parent.filter(f"all{i}"), F.col(e.child_key) == F.col(f"p{i}"), "left")
+                hit = F.col(f"p{i}").isNotNull()
+                why = F.when(depth.isNull() & hit, F.lit(e.child_key)).otherwise(why)
+                depth = F.when(depth.isNull() & hit, F.lit(n + 1)).otherwise(depth)
+            kept = [c for c in columns if c not in ("depth", "key_name")]
+            changed[t] = materialize(rows.select(*kept, depth.alias("depth"), why.alias("key_name")), f"fk-{t}-{n + 1}")
+        if not changed:
+            break
+        state = state | changed
+    return state
+
+
+def cascade(spark: SparkSession, tables: dict[str, DataFrame], edges: Sequence[Edge]) -> DataFrame:
     """Direct and inherited orphans as (``table_name``, ``key_name``, ``key``, ``reason``, ``depth``, ``n_rows``).
 
     A row is a direct orphan (depth 0) when a non-null foreign key of it has no parent row, and an inherited
@@ -105,26 +137,7 @@ def cascade(spark: SparkSession, tables: dict[str, DataFrame], edges: Sequence[E
             dangling = F.col(e.child_key).isNotNull() & F.col(f"p{i}").isNull()
             depth, why = F.coalesce(depth, F.when(dangling, F.lit(0))), F.coalesce(why, F.when(dangling, F.lit(e.child_key)))
         state[t] = materialize(rows.select(*keys[t], "n_rows", depth.alias("depth"), why.alias("key_name")), f"fk-{t}-0")
-    for n in range(max_rounds):
-        changed: dict[str, DataFrame] = {}
-        for t in state:
-            own = [e for e in edges if e.child == t]
-            # Only what became an orphan in the last round can pass it on.
-            live = [e for e in own if not state[e.parent].filter(F.col("depth") == n).isEmpty()]
-            if not live:
-                continue
-            rows = state[t]
-            depth, why = F.col("depth"), F.col("key_name")
-            for i, e in enumerate(live):
-                by_parent = state[e.parent].filter(F.col(e.parent_key).isNotNull()).groupBy(F.col(e.parent_key).alias(f"p{i}")).agg(F.bool_and(F.col("depth").isNotNull()).alias(f"all{i}"))
-                rows = rows.join(by_parent.filter(f"all{i}"), F.col(e.child_key) == F.col(f"p{i}"), "left")
-                hit = F.col(f"p{i}").isNotNull()
-                why = F.when(depth.isNull() & hit, F.lit(e.child_key)).otherwise(why)
-                depth = F.when(depth.isNull() & hit, F.lit(n + 1)).otherwise(depth)
-            changed[t] = materialize(rows.select(*keys[t], "n_rows", depth.alias("depth"), why.alias("key_name")), f"fk-{t}-{n + 1}")
-        if not changed:
-            break
-        state |= changed
+    state = _inherit(state, edges)
     out: DataFrame | None = None
     for t, rows in state.items():
         by_name = F.lit(None).cast("string")
@@ -134,3 +147,23 @@ def cascade(spark: SparkSession, tables: dict[str, DataFrame], edges: Sequence[E
         out = part if out is None else out.unionByName(part)
     assert out is not None
     return out.groupBy("table_name", "key_name", "key", "reason", "depth").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def cascade_references(refs: Sequence[Reference], parent: DataFrame, children: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Direct and inherited orphans as (``table_name``, ``period``, ``key``, ``reason``, ``depth``), distinct.
+
+    The direct orphans of ``direct_orphans`` are those of depth 0, with their reasons. ``children`` names pairs
+    (child, parent) of the tables in ``refs`` that also refer to each other by the key: a row without a reason
+    of its own is ``inherited`` (depth n + 1) when every row of such a parent with its key is an orphan of depth
+    n or less. Keys without a row in that parent inherit nothing. References are reduced to distinct ones per
+    month and grade before the first join, and written once.
+    """
+    rows = materialize(graded(refs, parent), "graded")
+    start = rows.select("table_name", "period", "key", "reason", F.when(F.col("reason").isNotNull(), F.lit(0)).alias("depth"), F.lit(None).cast("string").alias("key_name"))
+    state = {r.name: start.filter(F.col("table_name") == r.name) for r in refs}
+    out: DataFrame | None = None
+    for part in _inherit(state, [Edge(child, "key", of, "key") for child, of in children]).values():
+        part = part.filter("depth IS NOT NULL").select("table_name", "period", "key", F.coalesce("reason", F.lit(INHERITED)).alias("reason"), "depth")
+        out = part if out is None else out.unionByName(part)
+    assert out is not None
+    return out

@@ -114,10 +114,19 @@ def _parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.parents(table(spark, sf_dir, "source_documents"), "id", "version", "deleted", "first_loaded_at")
 
 
+def _cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orphans.cascade_references(_references(spark, sf_dir), _parents(spark, sf_dir), [("chunks", "index_state")])
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orphan references by table, month, document and reason."""
-    found = orphans.direct_orphans(_references(spark, sf_dir), _parents(spark, sf_dir))
-    return found.select("table_name", "period", F.col("key").alias("document_id"), "reason")
+    """Orphan references by table, month, document and reason: those of depth 0 of the cascade."""
+    return _cascade(spark, sf_dir).filter("depth = 0").select("table_name", "period", F.col("key").alias("document_id"), "reason")
+
+
+def p5_inherited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per table, month and depth of which rows without a reason of their own hang below orphans only."""
+    found = _cascade(spark, sf_dir).filter("depth > 0")
+    return found.groupBy("table_name", "period", "depth").agg(F.count_distinct("key").alias("documents"))
 
 
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +147,7 @@ def p5_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("table_name", F.col("key").alias("document_id"), "reason", "depth", "n_rows")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_changes_by_state, p2_found, p2_after_replay, p2_backlog, p3_found, p3_messages, p5_found, p5_report, p5_cascade)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_changes_by_state, p2_found, p2_after_replay, p2_backlog, p3_found, p3_messages, p5_found, p5_report, p5_inherited, p5_cascade)}
 
 
 def _uuid_sql(c: str) -> str:
@@ -186,6 +195,8 @@ SELECT topic_partition, count(*) AS messages, CAST(sum(delivery_id) AS BIGINT) A
 WHERE n = 1 OR ke IS NULL OR kd IS NULL OR document_version IS NULL GROUP BY 1""",
     "p5_found": f"WITH {_ORPHANS} SELECT table_name, period, document_id, reason FROM f",
     "p5_report": f"WITH {_ORPHANS} SELECT table_name, period, reason, count(*) AS documents FROM f GROUP BY ALL",
+    "p5_inherited": f"""WITH {_ORPHANS} SELECT table_name, period, 1 AS depth, count(DISTINCT document_id) AS documents FROM o
+WHERE table_name = 'chunks' AND reason IS NULL AND document_id IN (SELECT document_id FROM o WHERE table_name = 'index_state' GROUP BY 1 HAVING bool_and(reason IS NOT NULL)) GROUP BY ALL""",
     "p5_cascade": f"""WITH {_CASCADE}
 SELECT 'index_state' AS table_name, k AS document_id, 'missing' AS reason, 0 AS depth, n AS n_rows FROM i WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM d WHERE k IS NOT NULL)
 UNION ALL SELECT 'outbox', k, 'missing', 0, n FROM o WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM d WHERE k IS NOT NULL)

@@ -13,7 +13,7 @@ from driftmark.functions.ids import canonical_uuid, identity
 from driftmark.operators.changelog import ChangeSpec, ChangeStore, ConcurrentCommit
 from driftmark.operators.dedupe import deduplicate, redundant_copies
 from driftmark.operators.incremental import IncrementalJob, Sink, message_positions
-from driftmark.operators.orphans import Edge, Reference, cascade, direct_orphans, parents
+from driftmark.operators.orphans import Edge, Reference, cascade, cascade_references, direct_orphans, parents
 from driftmark.session import new_folder
 
 U = [str(uuid.UUID(int=i + 1, version=4)) for i in range(40)]
@@ -238,6 +238,29 @@ def test_cascade_reaches_a_fixpoint(spark):
     assert cascade(spark, {t: df.limit(0) for t, df in tables.items()}, edges).count() == 0
 
 
+def test_cascade_starts_from_all_direct_orphans_by_month(spark):
+    docs = spark.createDataFrame([(U[0], 1, True, _t(5)), (U[1], 1, False, _t(10)), (U[2], 1, False, _t(1))], "id string, version int, deleted boolean, first_loaded_at timestamp")
+    f = lambda rows: spark.createDataFrame(rows, "document_id string, loaded_at timestamp")
+    state = f([(U[0], _t(6)), (U[1], _t(9)), (U[2], _t(2)), (U[3], _t(2))])
+    april = datetime(2025, 4, 2)
+    chunks = f([(U[0], april), (U[1], _t(8)), (U[1], _t(12)), (U[1], april), (U[2], _t(3)), (U[3], _t(3)), (None, _t(3))])
+    notes = f([(U[0], _t(20)), (U[1], april), (U[2], _t(3))])
+    refs = [Reference("notes", notes, "document_id", "loaded_at"), Reference("chunks", chunks, "document_id", "loaded_at"), Reference("state", state, "document_id", "loaded_at", F.lit(True))]
+    got = {tuple(r) for r in cascade_references(refs, parents(docs, "id", "version", "deleted", "first_loaded_at"), [("chunks", "state"), ("notes", "chunks")]).collect()}
+    assert got == {
+        ("state", "2025-03", U[0], "deleted", 0), ("state", "2025-03", U[1], "late", 0), ("state", "2025-03", U[3], "missing", 0),
+        ("chunks", "2025-04", U[0], "inherited", 1), ("chunks", "2025-03", U[1], "late", 0), ("chunks", "2025-03", U[1], "inherited", 1),
+        ("chunks", "2025-04", U[1], "inherited", 1), ("chunks", "2025-03", U[3], "missing", 0),
+        ("notes", "2025-03", U[0], "inherited", 2), ("notes", "2025-04", U[1], "inherited", 2),
+    }
+
+
+def test_cascade_of_more_than_64_levels(spark):
+    chain = spark.createDataFrame([(str(i), str(i - 1)) for i in range(67)], "id string, of string")
+    got = cascade(spark, {"c": chain}, [Edge("c", "of", "c", "id")])
+    assert {(r["key"], r["depth"]) for r in got.collect()} == {(str(i - 1), i) for i in range(67)}
+
+
 def test_shared_folder_as_uri(spark, tmp_path):
     from driftmark.session import as_uri, fresh_name, shared_root
 
