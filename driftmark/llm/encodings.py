@@ -23,6 +23,8 @@ from driftmark.session import ship
 SCHEMA = "doc_id long, recoverable boolean, n_spans int, encodings string, restored string"
 #: Encodings that text may wrongly have been decoded with. ``cp1252`` stands for ISO 8859-1 as well.
 WRONG = ("cp1252", "mac_roman", "cp1251", "cp437", "cp850", "cp1250", "iso8859_2", "koi8_r", "cp866", "iso8859_5", "iso8859_15", "cp1254", "cp1257", "cp852", "mac_cyrillic", "mac_latin2")
+#: Those under which two-byte encodings are tried on any word; the others are on odd words only.
+WRONG_OFTEN = ("cp1252", "mac_roman", "cp1251", "cp437", "cp850")
 CYRILLIC = {"cp1251", "koi8_r", "cp866", "iso8859_5", "mac_cyrillic"}
 #: Single-byte encodings of the languages, tried where another single-byte encoding was used instead.
 RIGHT = {"latin": ("cp1252", "mac_roman", "cp850", "cp437"), "pl": ("cp1250", "iso8859_2", "cp852", "mac_latin2"), "ru": ("cp1251", "koi8_r", "cp866", "iso8859_5", "mac_cyrillic")}
@@ -154,6 +156,53 @@ def _decode_japanese(text: str, codec: str, right: str, lenient: bool) -> str:
     return _japanese_spans(codec, right).sub(repaired, text)
 
 
+#: Well-formed UTF-8 that starts beyond ASCII; ASCII may follow, as Shift JIS takes it for trail bytes.
+_UTF8 = re.compile(rb"([\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf4][\x80-\xbf]{3})[\x00-\x7f]*")
+#: What the first two bytes of kana in UTF-8 look like in Shift JIS.
+_KANA_LEADS = re.compile("[縺繧繝]")
+#: One of those whose last byte was lost or became a plain character.
+_KANA_LOST = re.compile("[縺繧繝](?:[・?？�]|$)")
+
+
+@lru_cache(maxsize=100_000)
+def _cp932(c: str) -> bytes | None:
+    try:
+        return c.encode("cp932")
+    except UnicodeEncodeError:
+        return None
+
+
+def _decode_cp932(text: str) -> str:
+    """Decode the maximal spans of ``text`` that are well-formed UTF-8 over the bytes of Shift JIS, begin and end
+    between its characters and hold kana: two or more, or one whose last byte looks like half-width kana. The
+    middle dot ends a span, as it stands for lost bytes."""
+    out: list[str] = []
+    i = 0
+    while i < len(text):
+        raw, ends = b"", {}
+        if not text[i].isascii() and (first := _cp932(text[i])) and first[0] >= 0xC2:
+            for j in range(i, len(text)):
+                if text[j].isascii() or text[j] == "・" or (b := _cp932(text[j])) is None:
+                    break
+                raw += b
+                ends[len(raw)] = j + 1
+        at = best = 0
+        while m := _UTF8.match(raw, at):
+            best = max((e for e in range(m.end(1), m.end() + 1) if e in ends), default=best)
+            at = m.end()
+        got = raw[:best].decode("utf-8") if best else ""
+        stop = ends.get(best, i)
+        kana = sum(map(_kana, got))
+        near = re.search("[縺繧繝][｡-ﾟ]", text[i:stop])
+        if kana and (kana > 1 or near) and _KANA_LEADS.search(text[i:stop]) and all(map(_good, got)):
+            out.append(got)
+            i = stop
+        else:
+            out.append(text[i])
+            i += 1
+    return "".join(out)
+
+
 @lru_cache(maxsize=200_000)
 def odd(word: str) -> bool:
     """Whether ``word`` cannot be a word of any of the languages: its letters fit none of the alphabets, or
@@ -248,7 +297,7 @@ def _multibyte(text: str, lenient: bool) -> tuple[str, list[str]]:
     """All repairs through multibyte structure, repeated while they change anything."""
     names: list[str] = []
     if len(text) >= 8:  # text of two-byte encodings may hold well-formed UTF-8 by chance: the better reading wins
-        found = [(_left(new), new, f"{right} as {codec}") for codec in ("cp1252", "mac_roman", "cp1251", "cp437", "cp850") for right in ("euc_jp", "shift_jis") if (new := _decode_japanese(text, codec, right, lenient)) != text]
+        found = [(_left(new), new, f"{right} as {codec}") for codec in (WRONG if odd(text) else WRONG_OFTEN) for right in ("euc_jp", "shift_jis") if (new := _decode_japanese(text, codec, right, lenient)) != text]
         if found and (best := min(found))[0] < 0.2 * _left(text):
             return best[1], [best[2]]
     for _ in range(4):
@@ -258,12 +307,13 @@ def _multibyte(text: str, lenient: bool) -> tuple[str, list[str]]:
                 text = new
                 names.append(f"utf-8 as {codec}")
                 break
-        if text == before and re.search("[縺繧繝]", text):
+        if text == before and _KANA_LEADS.search(text):
             try:
-                text = text.encode("cp932").decode("utf-8")
-                names.append("utf-8 as shift_jis")
+                text = text.encode("cp932").decode("utf-8") if "・" not in text else _decode_cp932(text)
             except UnicodeError:
-                pass
+                text = _decode_cp932(text)
+            if text != before:
+                names.append("utf-8 as shift_jis")
         if text == before:
             break
     return text, names
@@ -284,7 +334,7 @@ def judge(word: str) -> tuple[str, str] | None:
         return got, ", ".join(names)
     if odd(word) and (single := _single_byte(word)):
         return single
-    if "�" in word or _CONTROL.search(word):
+    if "�" in word or _CONTROL.search(word) or _KANA_LOST.search(word):
         return "", "lost"
     return None
 
@@ -331,7 +381,7 @@ def restore(text: str) -> tuple[bool, int, str, str | None] | None:
                     p = _through(p, pair, True) or p
             out.append(p)
     done = "".join(out)
-    lost = "�" in done or _CONTROL.search(done) is not None
+    lost = "�" in done or _CONTROL.search(done) is not None or _KANA_LOST.search(done) is not None
     return not lost, n, ", ".join(names), done if done != text else None
 
 

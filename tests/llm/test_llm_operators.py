@@ -251,6 +251,24 @@ def test_legacy_encodings(lang, right, wrong):
         assert found[3] == "Plain words first. " + text
 
 
+def test_utf8_as_shift_jis_inside_a_clean_sentence():
+    clean, passage = "会議の資料は明日までに送ってください。", "あの店に居た"
+    wrong = "あい".encode().decode("cp932")
+    assert encodings.restore(f"{clean}{wrong}{clean}")[::3] == (True, f"{clean}あい{clean}")
+    lost = "これはテスト".encode().decode("cp932", "replace").replace("�", "・")
+    assert encodings.restore(f"{clean}{lost}{clean}")[0] is False
+    assert encodings.restore(clean) is None and encodings.restore(f"{clean}縺れた糸、繧り。{passage}") is None
+
+
+@pytest.mark.parametrize("wrong", encodings.WRONG)
+@pytest.mark.parametrize("right", ["euc_jp", "cp932"])
+def test_two_byte_encodings_under_every_wrong_one(right, wrong):
+    clean = "会議の資料は明日までに送ってください。"
+    back = {b: c for c, b in encodings._to_byte(wrong).items()}
+    shown = "".join(chr(b) if b < 0x80 else back[b] for b in clean.encode(right))
+    assert encodings.restore(shown)[3] == clean
+
+
 def test_find_garbled_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "plain"), (4, "cafÃ© plain"), (4, "cafÃ© plain"), (5, "lost � here"), (6, "entity caf&Atilde;&copy;"), (7, "fine &eacute; &amp; x"), (8, "x " * 60_000 + "grÃ¶Ã\u009fer")]
     df = spark.createDataFrame([(d, t, "c") for d, t in rows], "doc_id long, text string, encodings string")
