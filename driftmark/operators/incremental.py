@@ -38,13 +38,14 @@ def pending(log: DataFrame, sink: DataFrame) -> DataFrame:
 class IncrementalJob:
     """Runs over a keyed log: ``plan-<run>/`` holds the write-ahead plan, ``done-<run>.json`` the commit.
 
-    The log is cut into ``partitions`` by hash of the key, and the commit records the offsets reached per
-    partition. With ``partition``/``position`` columns in the log (a message log) those are used as they
-    are and a run takes exactly the positions between the last commit and its plan.
+    What a run takes is decided by the anti join of the log with the sink. For a message log, ``position`` names
+    its columns of partition and position besides ``key`` and ``offset``: a run then reads exactly the positions
+    between the last commit and those reached when it was planned, which are written ahead with the plan and
+    committed with the run. The commit also counts the records per hash bucket (``partitions``) for reports only.
     """
 
-    def __init__(self, spark: SparkSession, root: str, partitions: int = 32) -> None:
-        self.spark, self.root, self.partitions = spark, root.rstrip("/"), partitions
+    def __init__(self, spark: SparkSession, root: str, partitions: int = 32, position: tuple[str, str] | None = None) -> None:
+        self.spark, self.root, self.partitions, self.position = spark, root.rstrip("/"), partitions, position
         self.folder = Folder(spark, self.root)
 
     def _runs(self, kind: str) -> list[int]:
@@ -55,14 +56,29 @@ class IncrementalJob:
         done = set(self._runs("done"))
         return next((n for n in self._runs("ready") if n not in done), None)
 
+    def committed(self) -> dict[int, int]:
+        """The positions reached by the last committed run, per partition of the message log."""
+        done = self._runs("done")
+        return {int(p): n for p, n in self.folder.load(f"done-{done[-1]:09d}.json").get("positions", {}).items()} if done else {}
+
     def plan(self, log: DataFrame, sink: DataFrame) -> int:
         """Write ahead which records the next run processes; an open run is returned as it was planned."""
         if (replay := self.open_run()) is not None:
             return replay
         run = max([0, *self._runs("ready"), *self._runs("plan")]) + 1
+        reached: dict[int, int] = {}
+        if self.position is not None:
+            reached = self.committed()
+            new = message_positions(log, *self.position, reached)
+            p, o = (F.col(f"`{c}`") for c in self.position)
+            ends = {int(r["p"]): int(r["o"]) for r in new.groupBy(p.alias("p")).agg(F.max(o).alias("o")).collect()}
+            within = F.lit(False)  # messages that arrive meanwhile belong to the next run
+            for n, at in sorted(ends.items()):
+                within = within | ((p == n) & (o <= at))
+            log, reached = latest(new.filter(within), F.col("key"), F.col("offset")), reached | ends
         partition = F.pmod(F.xxhash64("key"), F.lit(self.partitions)).cast("int")
         pending(log, sink).select("key", "offset", partition.alias("part")).write.parquet(f"{self.root}/plan-{run:09d}")
-        self.folder.create(f"ready-{run:09d}.json", {"run": run})
+        self.folder.create(f"ready-{run:09d}.json", {"run": run, "positions": reached})
         return run
 
     def planned(self, run: int) -> DataFrame:
@@ -70,9 +86,9 @@ class IncrementalJob:
         return self.spark.read.schema("key string, offset long, part int").parquet(f"{self.root}/plan-{run:09d}")
 
     def commit(self, run: int) -> dict[str, Any]:
-        """Record the run with the offsets it reached in each partition (at most ``partitions`` numbers)."""
+        """Record the run with the positions of its plan, and what it held per bucket (at most ``partitions`` numbers)."""
         reached = self.planned(run).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("offset")).collect()
-        state = {"run": run, "partitions": {str(r["part"]): {"records": r["n"], "offset": r["offset"]} for r in reached}}
+        state = {"run": run, "partitions": {str(r["part"]): {"records": r["n"], "offset": r["offset"]} for r in reached}, "positions": self.folder.load(f"ready-{run:09d}.json").get("positions", {})}
         self.folder.create(f"done-{run:09d}.json", state)
         return state
 
