@@ -119,13 +119,13 @@ class Scanner:
         words = joined.split()
         found: dict[int, tuple[int, int]] = {}
         counted, upto = 0, 0
-        done: set[tuple[int, int]] = set()
+        reached: dict[tuple[int, int], int] = {}  # by diagonal: where its last run ended
         for end, blocks in hits:
             counted += joined.count(" ", upto, end)  # spaces before ``end``: the words that ended there
             upto = end
             first = counted - self.block
             for item, k in blocks:
-                if (item, first - k) in done:
+                if first + self.block <= reached.get((item, first - k), 0):
                     continue
                 own, a, b = self.items[item], first, first + self.block
                 i, j = k, k + self.block
@@ -133,9 +133,9 @@ class Scanner:
                     a, i = a - 1, i - 1
                 while b < len(words) and j < len(own) and words[b] == own[j]:
                     b, j = b + 1, j + 1
+                reached[item, first - k] = b
                 if b - a >= self.min_words and b - a > found.get(item, (0, 0))[0]:
                     found[item] = (b - a, a)
-                    done.add((item, first - k))
         if not found:
             return []
         spans = word_spans(text)

@@ -71,6 +71,13 @@ def _leak_brute(docs, items, n):
     return out
 
 
+def test_longest_run_beside_a_replaced_word():
+    item = [f"word{i}" for i in range(40)]
+    text = " ".join([*item[:14], "changed", *item[15:]])
+    ((_, n, start, end, _),) = leaks.Scanner([(1, " ".join(item), None)], 13).scan(text)
+    assert n == 25 and text[start:end] == " ".join(item[15:])
+
+
 def test_leaks_against_brute_force(spark):
     rng = random.Random(9)
     items = [(i, " ".join(rng.choices(WORDS, k=rng.randrange(5, 40))), rng.choice([None, "Alpha beta"])) for i in range(30)] + [(40, None, None), (41, "", ""), (42, "short", "x")]
