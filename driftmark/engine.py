@@ -162,7 +162,8 @@ class Engine:
         """Index the current version of the documents named by ``document_id``.
 
         Planned outside any lock against one snapshot; if another commit comes first it is planned anew. A
-        ``batch`` that was committed before is skipped, which makes replays harmless.
+        ``batch`` that was committed before is skipped, which makes replays harmless. Its failures are kept
+        beside the store and named by the commit, see ``failures``.
         """
         ids = materialize(documents.select("document_id").dropna().distinct(), "ids")
         touched = self.store.touched(ids)
@@ -176,10 +177,20 @@ class Engine:
             plan = IndexPlan(current, state, chunks, self.provider, now, self.chunking, self.policy)
             batches = [*base["batches"], batch][-1000:] if batch is not None else base["batches"]
             plan.results = materialize(plan.results, "results")
-            if self.store.commit(base, {"chunks": (plan.chunks, touched), "index_state": (plan.state, touched)}, batches=batches):
+            kept = base.get("failures", {})
+            if batch is not None:
+                path = f"{self.store.root}/failures/{uuid.uuid4().hex}"
+                plan.failures.write.parquet(path)
+                kept = {b: kept[b] for b in batches if b in kept} | {batch: path}
+            if self.store.commit(base, {"chunks": (plan.chunks, touched), "index_state": (plan.state, touched)}, batches=batches, failures=kept):
                 return plan
         raise ConcurrentModificationError("the index kept changing")
 
+    def failures(self, batch: str) -> DataFrame | None:
+        """What failed in a committed batch (``document_id``, ``attempts``, ``error_type``, ``error_message``)."""
+        path = self.store.manifest().get("failures", {}).get(batch)
+        return self.spark.read.parquet(path) if path else None
+
     # Repair and checks
 
     def reconcile(self) -> ReconcileReport:

@@ -62,13 +62,17 @@ class Worker:
         decoded = batch.withColumn("e", decode_event(F.col("value")))
         good, bad = decoded.filter("e.error IS NULL"), decoded.filter("e.error IS NOT NULL")
         now = self.engine.now()
-        letters = dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), now)
-        # Keyed by batch: a replay overwrites its own letters.
-        plan = self.engine.process(good.select(F.col("e.document_id").alias("document_id")), f"{self.name}-{batch_id}")
-        if plan is not None:
-            failed = good.join(plan.failures.withColumnRenamed("document_id", "d"), F.col("e.document_id") == F.col("d"))
-            letters = letters.unionByName(dead_letters(failed, F.col("error_type"), F.col("error_message"), F.col("attempts"), now))
-            letters.write.mode("overwrite").parquet(f"{self.dead}/batch={batch_id:012d}")
+        # Keyed by batch: a replay overwrites its own letters. Those of malformed events do not wait for the commit,
+        # those of failed documents are written from what the commit kept, by whichever attempt comes after it.
+        self._letters(dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), now), f"{batch_id:012d}")
+        name = f"{self.name}-{batch_id}"
+        self.engine.process(good.select(F.col("e.document_id").alias("document_id")), name)
+        if (failures := self.engine.failures(name)) is not None:
+            failed = good.join(failures.withColumnRenamed("document_id", "d"), F.col("e.document_id") == F.col("d"))
+            self._letters(dead_letters(failed, F.col("error_type"), F.col("error_message"), F.col("attempts"), now), f"{batch_id:012d}-failed")
+
+    def _letters(self, letters: DataFrame, batch: str) -> None:
+        letters.write.mode("overwrite").parquet(f"{self.dead}/batch={batch}")
 
     def _writer(self) -> Any:
         return self.events.writeStream.foreachBatch(self.apply).option("checkpointLocation", self.checkpoint).queryName(self.name)

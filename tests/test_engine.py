@@ -102,6 +102,20 @@ def test_failures_go_to_dead_letters(spark, tmp_path):
     assert engine.store.read("index_state").count() == 0 and engine.store.read("chunks").count() == 0
 
 
+def test_letters_survive_a_driver_lost_after_the_commit(spark, tmp_path):
+    engine = Engine(spark, f"file://{tmp_path}/store", SETTINGS, FailingProvider(HashedWords(64), 1.0))
+    a = engine.create("Travel", LONG)
+    engine.drain(f"{tmp_path}/events")
+    spark.createDataFrame([(b"k", "{broken")], "key binary, value string").write.mode("append").parquet(f"{tmp_path}/events")
+    w = worker(engine, tmp_path)
+    rows = spark.read.schema("key binary, value string").parquet(f"{tmp_path}/events").withColumns({"source_topic": F.lit("t"), "source_partition": F.lit(0), "source_offset": F.monotonically_increasing_id()})
+    engine.process(spark.createDataFrame([(a,)], "document_id string"), "w-0")  # committed, then the driver died
+    for _ in range(2):
+        w.apply(rows, 0)  # the replay finds its batch committed
+        dead = read_dead_letters(spark, w.dead).collect()
+        assert sorted(r["headers"]["dlq.error_type"] for r in dead) == ["TransientEmbeddingError", "ValueError"]
+
+
 def test_commits_are_all_or_nothing(spark, tmp_path):
     engine = Engine(spark, f"file://{tmp_path}/store", SETTINGS)
     engine.create("Travel", LONG)
