@@ -72,11 +72,27 @@ def boundaries(text: str, config: SplitConfig) -> tuple[np.ndarray, np.ndarray]:
     return np.array(at, dtype=np.int64), np.array([cost[i] for i in at])
 
 
+def _begins(text: str, cut: np.ndarray, end: np.ndarray, config: SplitConfig) -> np.ndarray:
+    """The start of the piece after each cut, ascending: the first boundary (any kind) within the overlap, else
+    the first place there that parts no characters that belong together. The next cut stays within reach."""
+    if not len(cut):
+        return cut
+    spots = np.array(sorted({*cut.tolist(), *(m.end() for pattern, _ in _KINDS for m in pattern.finditer(text))}), dtype=np.int64)
+    low = np.minimum(np.maximum(np.maximum(cut - config.overlap, end[1:] - config.max_chars), 1), cut)
+    begin = spots[np.searchsorted(spots, low)]
+    for i in np.flatnonzero(begin == cut):
+        at = int(low[i])
+        while at < cut[i] and _joined(text, at):
+            at += 1
+        begin[i] = at
+    return begin
+
+
 def split_paragraph(text: str, config: SplitConfig) -> list[tuple[int, int]]:
     """(start, end) of the pieces of one paragraph.
 
-    A piece holds at most ``max_chars`` code points; the next begins at the earliest boundary not more than
-    ``overlap`` before the cut. Cuts are chosen so that the sum of their costs and of the squared deviation
+    A piece holds at most ``max_chars`` code points; the next begins at the earliest boundary of any kind, in any
+    stretch, not more than ``overlap`` before the cut, or between any two characters where there is none. Cuts are chosen so that the sum of their costs and of the squared deviation
     of the pieces from equal sizes is least. Every character lies in a piece; pieces are not stripped.
     """
     n = len(text)
@@ -85,8 +101,7 @@ def split_paragraph(text: str, config: SplitConfig) -> list[tuple[int, int]]:
     cut, price = boundaries(text, config)
     end = np.append(cut, n)
     price = np.append(price, 0.0)
-    # The start of the piece after each cut: the first boundary (any kind) within the overlap, else the cut.
-    begin = np.minimum(cut[np.searchsorted(cut, np.maximum(cut - config.overlap, 1))], cut) if len(cut) else cut
+    begin = _begins(text, cut, end, config)
     starts = np.append(0, begin)
     least = max(2, -(-(n - config.overlap) // (config.max_chars - config.overlap)))
     ideal = (n + (least - 1) * config.overlap / 2) / least

@@ -42,6 +42,14 @@ def test_cuts_are_natural_where_possible():
         splitting.SplitConfig(100, 100)
 
 
+def test_pieces_overlap_after_sentences_longer_than_the_overlap():
+    sentence = "many words stand here one beside the other without any sign " * 2 + "up to the end."
+    for text in (" ".join([sentence] * 20), "。".join(["文" * 120] * 20)):
+        got = splitting.split_paragraph(text, splitting.SplitConfig())
+        assert len(got) > 1 and all(50 < b1 - a2 <= 100 for (_, b1), (a2, _) in zip(got, got[1:]))
+        assert all(text[a - 1].isspace() for a, _ in got[1:]) or "。" in text
+
+
 def test_split_documents_edge_cases(spark):
     rows = [("a", None, 1), ("b", " \n\n ", 2), (None, "x", 3), ("c", "one\r\n　\r\ntwo", 4), ("d", "y" * 30_000, 5), ("c", "one", 6)]
     df = spark.createDataFrame(rows, "document_id string, content string, position int")
