@@ -48,6 +48,16 @@ def p1_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _live(_append(store, _changes(spark, sf_dir).filter(F.col("event_type") == changelog.UPSERT)))
 
 
+def p1_late_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where all deletes come first and are compacted before any upsert arrives, in compacted runs, too."""
+    store, changes = changelog.ChangeStore(spark, new_folder(spark, "changes"), fan_in=3), _changes(spark, sf_dir)
+    _append(store, changes.filter(F.col("event_type") == changelog.DELETE))
+    store.compact(force=True)
+    _append(store, changes.filter(F.col("event_type") == changelog.UPSERT))
+    store.compact()
+    return _live(store)
+
+
 def p1_changes_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many documents end live and deleted, with the sum of their versions."""
     merged = _store(spark, sf_dir).merged()
@@ -147,7 +157,7 @@ def p5_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("table_name", F.col("key").alias("document_id"), "reason", "depth", "n_rows")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_changes_by_state, p2_found, p2_after_replay, p2_backlog, p3_found, p3_messages, p5_found, p5_report, p5_inherited, p5_cascade)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_late_after_compaction, p1_changes_by_state, p2_found, p2_after_replay, p2_backlog, p3_found, p3_messages, p5_found, p5_report, p5_inherited, p5_cascade)}
 
 
 def _uuid_sql(c: str) -> str:
@@ -184,6 +194,7 @@ o AS (SELECT {_identity_sql("document_id")} AS k, count(*) AS n FROM outbox GROU
 ORACLES: dict[str, str] = {
     "p1_found": f"WITH {_VALID} SELECT d AS document_id, n AS document_version FROM last WHERE NOT dead",
     "p1_compacted": f"WITH {_VALID} SELECT d AS document_id, n AS document_version FROM last WHERE NOT dead",
+    "p1_late_after_compaction": f"WITH {_VALID} SELECT d AS document_id, n AS document_version FROM last WHERE NOT dead",
     "p1_changes_by_state": f"WITH {_VALID} SELECT dead AS deleted, count(*) AS documents, CAST(sum(n) AS BIGINT) AS versions FROM last GROUP BY 1",
     "p2_found": f"WITH {_DUE} SELECT cur.d AS document_id, cur.n AS version FROM cur WHERE cur.n IS NOT NULL AND cur.d IS NOT NULL AND NOT EXISTS (SELECT 1 FROM held WHERE held.d = cur.d AND held.n >= cur.n)",
     "p2_after_replay": f"WITH {_DUE} SELECT CAST(n AS BIGINT) AS version, count(*) AS documents FROM cur WHERE d IS NOT NULL AND n IS NOT NULL GROUP BY 1",

@@ -64,10 +64,10 @@ def test_change_store_against_brute_force(spark):
     got = {(r["dm_key"], r["dm_seq"], r["note"]) for r in store.current().collect()}
     assert {(k, n) for k, n, _ in got} == want
     assert all(note == best[k][3] for k, _, note in got)
-    assert store.compact() and len(store.manifest()["runs"]) == 1 and not store.compact()
+    assert store.compact() == 1 and len(store.runs()) == 1 and not store.compact(force=True)
     assert {(r["dm_key"], r["dm_seq"], r["note"]) for r in store.current().collect()} == got
-    # A late repetition of everything changes nothing but revives nothing either, beyond dropped tombstones.
-    store.append(df, _spec("note"))
+    # A late repetition of every upsert changes nothing and revives nothing.
+    store.append(df.filter("op = 'upserted'"), _spec("note"))
     assert {(r["dm_key"], r["dm_seq"]) for r in store.current().collect()} == want
 
 
@@ -79,7 +79,7 @@ def test_older_upsert_after_compaction_revives_nothing(spark):
     store.append(runs[1], _spec())
     live = lambda: sorted((r["dm_key"], r["dm_seq"]) for r in store.current().collect())
     for late in runs[2:4]:
-        assert store.compact(force=True) and len(store.manifest()["runs"]) == 1
+        assert store.compact(force=True) and len(store.runs()) == 1
         store.append(late, _spec())
         assert live() == [(U[1], 2)]
     assert store.compact(force=True)
@@ -102,7 +102,7 @@ def test_lost_commit_is_not_visible(spark):
     one = spark.createDataFrame([(U[0], 1, "upserted", 0, None, None, None)], CHANGES)
     store.append(one, _spec())
     flat = one.select(F.lit(0).alias("run"), F.col("k").alias("dm_key"), F.lit(9).cast("long").alias("dm_seq"), F.lit(True).alias("dm_dead"))
-    store._write(flat, ["never-committed"])  # the driver died before its manifest
+    store._write(flat, "never-committed")  # the driver died before its manifest
     assert [r["dm_seq"] for r in store.current().collect()] == [1]
     store.folder.create(store._manifest(2), store.manifest() | {"version": 2})
     with pytest.raises(ConcurrentCommit):
@@ -124,6 +124,45 @@ def test_merge_reads_in_small_batches(spark):
     assert {(r["dm_key"], r["dm_seq"]) for r in got} == {(u, 5) for u in U} and len(got) == 40
 
 
+def test_levels_bound_what_is_rewritten(spark):
+    store = _store(spark, buckets=1, fan_in=3)
+    for n in range(1, 10):
+        store.append(spark.createDataFrame([(U[0], n, "upserted", 0, None, None, None), (U[n], n, "deleted", 0, None, None, None)], CHANGES), _spec())
+        store.compact()
+    # Nine runs became three of level 1 and those one of level 2: each change was rewritten twice.
+    assert [r["level"] for r in store.manifest()["runs"]] == [2]
+    assert store.manifest()["version"] == 9 + 3 + 1
+    assert [(r["dm_key"], r["dm_seq"]) for r in store.current().collect()] == [(U[0], 9)]
+
+
+def test_concurrent_writers_lose_nothing(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = _store(spark, buckets=2, fan_in=3)
+
+    def write(w):
+        own = ChangeStore(spark, store.root, fan_in=3)
+        for n in range(3):
+            own.append(spark.range(500).select(F.concat(F.lit(f"{w}-{n}-"), "id").alias("k"), F.lit(1).alias("n"), F.lit("upserted").alias("op")), _spec())
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    assert len(store.runs()) == 12 and store.current().count() == 6000
+    store.compact()
+    assert store.current().count() == 6000
+
+
+def test_commits_exclude_each_other(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from driftmark.sources.files import Folder
+
+    folder = Folder(spark, new_folder(spark, "folder"))
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: folder.create("x.json", {"n": n}), range(8)))
+    assert sum(won) == 1 and folder.load("x.json") == {"n": won.index(True)} and folder.names() == ["x.json"]
+
+
 # Deduplication
 
 
