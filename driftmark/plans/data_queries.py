@@ -72,25 +72,52 @@ def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.latest(table(spark, sf_dir, "index_state"), canonical_uuid(F.col("document_id")), F.col("indexed_version"))
 
 
+def _captured(spark: SparkSession, sf_dir: str, root: str) -> incremental.ChangeLog:
+    log = incremental.ChangeLog(spark, f"{root}/log")
+    log.capture(_log(spark, sf_dir))
+    return log
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the next run has to index, read back from the plan that it writes ahead."""
-    job = incremental.IncrementalJob(spark, new_folder(spark, "incremental"))
-    run = job.plan(_log(spark, sf_dir), _indexed(spark, sf_dir))
+    """What the next run has to index, read back from the plan that it writes ahead.
+
+    The versions of documents are captured as a log, the positions up to which the index holds everything are
+    committed, and the run takes what lies beyond them less what the index holds by key and version.
+    """
+    root, held = new_folder(spark, "incremental"), _indexed(spark, sf_dir)
+    log, job = _captured(spark, sf_dir, root), incremental.IncrementalJob(spark, f"{root}/job")
+    job.adopt(log.records(), held)
+    run = job.plan(log.records(), held)
     return job.planned(run).select(F.col("key").alias("document_id"), F.col("offset").cast("int").alias("version"))
 
 
 def p2_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that fails after half its writes, and again between its last write and its commit, is replayed; per
-    offset, how many records the sink then holds."""
+    offset, how many records the sink then holds. Each record leads to two rows, which stay together."""
     root = new_folder(spark, "incremental")
-    job, sink = incremental.IncrementalJob(spark, f"{root}/job"), incremental.Sink(spark, f"{root}/sink", "key string, offset long")
-    log = _log(spark, sf_dir)
+    job, sink = incremental.IncrementalJob(spark, f"{root}/job"), incremental.Sink(spark, f"{root}/sink", "key string, offset long, copy int")
+    two = lambda rows: rows.select("key", "offset", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+    log = _captured(spark, sf_dir, root).records()
     run = job.plan(log, sink.held())
-    sink.write(job.planned(run).select("key", "offset").filter("offset < 5"), run)  # the lost driver's part of the work
-    job.attempt(log, sink, lambda rows: rows)  # the next driver wrote the rest and was lost before its commit
-    job.run(log, sink, lambda rows: rows)
-    job.run(log, sink, lambda rows: rows)
-    return sink.rows().groupBy(F.col("offset").alias("version")).agg(F.count(F.lit(1)).alias("documents"))
+    sink.write(two(job.planned(run).filter("offset < 5")), run)  # the lost driver's part of the work
+    job.attempt(log, sink, two)  # the next driver wrote the rest and was lost before its commit
+    job.run(log, sink, two)
+    job.run(log, sink, two)
+    return sink.rows().groupBy(F.col("offset").alias("version")).agg(F.count_if(F.col("copy") == 1).alias("documents"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def p2_next_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of even versions are captured and processed; the plan after all others were captured, made by a
+    second driver because the first was lost while it planned, is what changed since."""
+    root, rows = new_folder(spark, "incremental"), table(spark, sf_dir, "source_documents")
+    log, job = incremental.ChangeLog(spark, f"{root}/log"), incremental.IncrementalJob(spark, f"{root}/job")
+    sink = incremental.Sink(spark, f"{root}/sink", "key string, offset long")
+    log.capture(incremental.latest(rows.filter("version % 2 = 0"), canonical_uuid(F.col("id")), F.col("version")))
+    job.run(log.records(), sink, lambda r: r)
+    log.capture(_log(spark, sf_dir))
+    sink.held().write.parquet(f"{root}/job/plan-{2:09d}")  # a plan without its mark, which the lost driver left
+    run = job.plan(log.records(), sink.held())
+    return job.planned(run).select(F.col("key").alias("document_id"), F.col("offset").cast("int").alias("version"))
 
 
 def p2_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +184,7 @@ def p5_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("table_name", F.col("key").alias("document_id"), "reason", "depth", "n_rows")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_late_after_compaction, p1_changes_by_state, p2_found, p2_after_replay, p2_backlog, p3_found, p3_messages, p5_found, p5_report, p5_inherited, p5_cascade)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_late_after_compaction, p1_changes_by_state, p2_found, p2_after_replay, p2_next_run, p2_backlog, p3_found, p3_messages, p5_found, p5_report, p5_inherited, p5_cascade)}
 
 
 def _uuid_sql(c: str) -> str:
@@ -197,7 +224,9 @@ ORACLES: dict[str, str] = {
     "p1_late_after_compaction": f"WITH {_VALID} SELECT d AS document_id, n AS document_version FROM last WHERE NOT dead",
     "p1_changes_by_state": f"WITH {_VALID} SELECT dead AS deleted, count(*) AS documents, CAST(sum(n) AS BIGINT) AS versions FROM last GROUP BY 1",
     "p2_found": f"WITH {_DUE} SELECT cur.d AS document_id, cur.n AS version FROM cur WHERE cur.n IS NOT NULL AND cur.d IS NOT NULL AND NOT EXISTS (SELECT 1 FROM held WHERE held.d = cur.d AND held.n >= cur.n)",
-    "p2_after_replay": f"WITH {_DUE} SELECT CAST(n AS BIGINT) AS version, count(*) AS documents FROM cur WHERE d IS NOT NULL AND n IS NOT NULL GROUP BY 1",
+    "p2_after_replay": f"WITH {_DUE} SELECT CAST(n AS BIGINT) AS version, count(*) AS documents, 2 * count(*) AS n_rows FROM cur WHERE d IS NOT NULL AND n IS NOT NULL GROUP BY 1",
+    "p2_next_run": f"""WITH {_DUE}, even AS (SELECT {_uuid_sql("id")} AS d, max(version) AS n FROM source_documents WHERE version % 2 = 0 GROUP BY 1)
+SELECT cur.d AS document_id, cur.n AS version FROM cur LEFT JOIN even ON even.d = cur.d WHERE cur.d IS NOT NULL AND cur.n IS NOT NULL AND (even.n IS NULL OR even.n < cur.n)""",
     "p2_backlog": f"""WITH {_DUE} SELECT held.n IS NULL AS never_indexed, count(*) AS documents, CAST(sum(cur.n - coalesce(held.n, 0)) AS BIGINT) AS versions_behind
 FROM cur LEFT JOIN held ON cur.d = held.d WHERE cur.d IS NOT NULL AND cur.n IS NOT NULL AND (held.n IS NULL OR held.n < cur.n) GROUP BY 1""",
     "p3_found": f"WITH {_MESSAGES} SELECT delivery_id FROM (SELECT delivery_id, row_number() OVER (PARTITION BY ke, kd, document_version ORDER BY delivery_id) AS n FROM m WHERE ke IS NOT NULL AND kd IS NOT NULL AND document_version IS NOT NULL) WHERE n > 1",
