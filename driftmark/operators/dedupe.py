@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftmark.functions.ids import identity
 from driftmark.session import fresh_name
@@ -16,46 +18,45 @@ def _keys(df: DataFrame, id_columns: Sequence[str]) -> list[Column]:
     return [identity(F.col(f"`{c}`")) if kinds[c] == "string" else F.col(f"`{c}`") for c in id_columns]
 
 
-def _order(order_columns: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order_columns)])
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)
 
 
-def first_copies(df: DataFrame, id_columns: Sequence[str], order_columns: Sequence[str]) -> DataFrame:
-    """The order key (``o0``, ``o1`` ...) of the first copy of each message.
+def _order(df: DataFrame, order_columns: Sequence[str]) -> Column:
+    """When a row was delivered, and a hash of all of it to break ties alike in every partitioning."""
+    content = [F.to_json(F.struct(f"`{f.name}`")) if _holds_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order_columns)], F.xxhash64(*content).alias("tie"))
 
-    One hash aggregation with ``min_by`` over a struct of delivery time and tie-break. Partial aggregation
-    on the map side leaves at most one row per message and task, so a message that makes up a third of all
-    rows costs no more than any other.
+
+def first_copies(keyed: DataFrame, names: Sequence[str], order: str) -> DataFrame:
+    """The keys ``names`` with the least ``order`` of each message.
+
+    One aggregation by the message with ``min_by`` over a struct of delivery time and tie-break. Partial
+    aggregation on the map side leaves at most one row per message and task, so a message that makes up a third
+    of all rows costs no more than any other.
     """
-    names = [f"k{i}" for i in range(len(id_columns))]
-    keys = [k.alias(n) for k, n in zip(_keys(df, id_columns), names)]
-    if len(order_columns) == 1 and dict(df.dtypes)[order_columns[0]] in ("int", "bigint", "timestamp", "date", "double"):
-        # A struct of one fixed-width column is that column, which a hash aggregation can update in place.
-        keyed = df.select(*keys, F.col(f"`{order_columns[0]}`").alias("o")).dropna(subset=names)
-        any_null = F.count_if(F.col("o").isNull()) > 0
-        return keyed.groupBy(*names).agg(F.when(~any_null, F.min_by("o", "o")).alias("o0")).select("o0")
-    keyed = df.select(*keys, _order(order_columns).alias("o")).dropna(subset=names)
-    return keyed.groupBy(*names).agg(F.min_by("o", "o").alias("o")).select("o.*")
+    return keyed.groupBy(*names).agg(F.min_by(order, order).alias(order))
 
 
 def redundant_copies(df: DataFrame, id_columns: Sequence[str], order_columns: Sequence[str]) -> DataFrame:
     """Every row that is a copy of an earlier delivery of the same message.
 
     Rows are copies when all ``id_columns`` are non-null and equal, text compared as UUIDs whatever the
-    spelling. The first copy by ``order_columns`` (nulls first) is not redundant. Rows with a null
-    identifier are never copies. Rows that tie on the whole order are one delivery recorded again: none of
-    them is redundant if it comes first. An empty table gives an empty result; other columns pass through.
+    spelling. The first copy by ``order_columns`` (nulls first) is not redundant; of several first ones it is
+    that with the least hash of its content. Rows with a null identifier are never copies. Rows equal in every
+    column are one delivery recorded again: none of them is redundant if it comes first. An empty table gives an
+    empty result; other columns pass through.
 
-    The join back is on the order key, which is spread evenly, and not on the message key, which may be hot.
+    The join back is on message and order together, so that the rows of a hot message are spread evenly.
     """
-    names = [fresh_name(df, f"k{i}") for i in range(len(id_columns))]
-    keyed = df.withColumns(dict(zip(names, _keys(df, id_columns)))).dropna(subset=names)
-    kept = first_copies(df, id_columns, order_columns)
-    pairs = [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.o{i}")) for i, c in enumerate(order_columns)]
-    condition = pairs[0]
-    for pair in pairs[1:]:
-        condition = condition & pair
-    return keyed.alias("l").join(kept.alias("r"), condition, "left_anti").drop(*names)
+    names, order = [fresh_name(df, f"k{i}") for i in range(len(id_columns))], fresh_name(df, "order")
+    keyed = df.withColumns(dict(zip(names, _keys(df, id_columns))) | {order: _order(df, order_columns)}).dropna(subset=names)
+    kept = first_copies(keyed.select(*names, order), names, order)
+    same = [F.col(f"l.{n}") == F.col(f"r.{n}") for n in names]
+    parts = [F.col(f"l.{order}.{o}").eqNullSafe(F.col(f"r.{order}.{o}")) for o in (*[f"o{i}" for i in range(len(order_columns))], "tie")]
+    return keyed.alias("l").join(kept.alias("r"), reduce(Column.__and__, [*same, *parts]), "left_anti").drop(*names, order)
 
 
 def deduplicate(df: DataFrame, id_columns: Sequence[str], order_columns: Sequence[str]) -> DataFrame:
@@ -71,6 +72,6 @@ def deduplicate(df: DataFrame, id_columns: Sequence[str], order_columns: Sequenc
     for n in names:
         missing = missing | F.col(n).isNull()
     whole = F.struct(*columns)
-    tie = F.struct(_order(order_columns), F.xxhash64(*columns), F.to_json(whole))
+    tie = F.struct(_order(df, order_columns), F.to_json(whole))
     once = keyed.filter(~missing).groupBy(*names).agg(F.min_by(whole, tie).alias("row")).select("row.*")
     return once.unionByName(keyed.filter(missing).select(*columns))

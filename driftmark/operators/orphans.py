@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,8 +37,11 @@ def parents(df: DataFrame, key: str, version: str, deleted: str, loaded_at: str)
     are no parents; a null version is below every version; a null ``deleted`` counts as live. Should rows
     of the highest version disagree, deleted wins and the earliest load counts.
     """
-    rows = df.select(identity(F.col(f"`{key}`")).alias("key"), F.struct(F.col(f"`{version}`").alias("v"), F.coalesce(F.col(f"`{deleted}`"), F.lit(False)).alias("d")).alias("at"), F.col(f"`{loaded_at}`").alias("t"))
-    return rows.filter("key IS NOT NULL").groupBy("key").agg(F.max("at").alias("at"), F.min("t").alias("first_loaded_at")).select("key", F.col("at.d").alias("deleted"), "first_loaded_at")
+    v = F.coalesce(F.col(f"`{version}`").cast("long"), F.lit(-(2**63)))
+    rows = df.select(identity(F.col(f"`{key}`")).alias("key"), v.alias("v"), F.when(F.col(f"`{deleted}`"), v).alias("dead"), F.col(f"`{loaded_at}`").alias("t"))
+    # Fixed-width values only, so that this is a hash aggregation.
+    per = rows.filter("key IS NOT NULL").groupBy("key").agg(F.max("v").alias("v"), F.max("dead").alias("dead"), F.min("t").alias("first_loaded_at"))
+    return per.select("key", F.col("v").eqNullSafe(F.col("dead")).alias("deleted"), "first_loaded_at")
 
 
 def compact_references(refs: Sequence[Reference]) -> DataFrame:
@@ -86,30 +90,56 @@ class Edge:
     parent_key: str
 
 
-def _inherit(state: dict[str, DataFrame], edges: Sequence[Edge]) -> dict[str, DataFrame]:
-    """``state`` with ``depth`` and ``key_name`` of inherited orphans filled in, until no round changes anything."""
-    for n in count():
-        changed: dict[str, DataFrame] = {}
-        for t in state:
-            own = [e for e in edges if e.child == t]
-            # Only what became an orphan in the last round can pass it on.
-            live = [e for e in own if not state[e.parent].filter(F.col("depth") == n).isEmpty()]
-            if not live:
+def _per_key(rows: DataFrame) -> DataFrame:
+    return rows.filter("k IS NOT NULL").groupBy("k").agg(F.sum("lost").cast("long").alias("lost"))
+
+
+def _few(frames: list[DataFrame]) -> list[DataFrame]:
+    """The counts of many rounds, written together from time to time so that plans stay small."""
+    return frames if len(frames) <= 8 else [materialize(_per_key(reduce(DataFrame.unionByName, frames)), "fk-lost")]
+
+
+def _inherit(state: dict[str, DataFrame], edges: Sequence[Edge]) -> dict[str, list[DataFrame]]:
+    """The orphans of each table, one frame per round: those with a ``depth`` in ``state``, then what inherits.
+
+    A round looks only at keys of the frontier, the orphans that the round before added: of those keys it takes
+    the ones of which no parent row is left, and the child rows that refer to them by a semi join. It writes what
+    it adds and nothing else. The rounds end when the frontier is empty, however many it takes.
+    """
+    found = {t: [rows.filter("depth IS NOT NULL")] for t, rows in state.items()}
+    whole = {t: rows.filter("depth IS NULL") for t, rows in state.items()}
+    frontier = {t: f[0] for t, f in found.items() if not f[0].isEmpty()}
+    lost: dict[tuple[str, str], list[DataFrame]] = {}
+    for n in count(1):
+        gone: dict[tuple[str, str], DataFrame] = {}
+        for p, k in {(e.parent, e.parent_key) for e in edges if e.parent in frontier}:
+            named = frontier[p].select(F.col(k).alias("k")).filter("k IS NOT NULL").distinct()
+            sound = whole[p].select(F.col(k).alias("k")).join(named, "k", "left_semi").groupBy("k").agg(F.count(F.lit(1)).alias("sound"))
+            taken = lost[p, k] = _few([*lost.get((p, k), []), *([_per_key(frontier[p].select(F.col(k).alias("k"), F.lit(1).alias("lost")))] if n > 1 else [])])
+            both = named.join(sound, "k", "left")
+            both = both.join(_per_key(reduce(DataFrame.unionByName, taken).join(named, "k", "left_semi")), "k", "left") if taken else both.withColumn("lost", F.lit(None).cast("long"))
+            gone[p, k] = materialize(both.filter(F.coalesce("sound", F.lit(0)) == F.coalesce("lost", F.lit(0))).select("k"), f"fk-gone-{n}")
+        frontier = {}
+        for t, rows in whole.items():
+            own = [e for e in edges if e.child == t and (e.parent, e.parent_key) in gone]
+            identity_of = [c for c in rows.columns if c not in ("depth", "key_name")]
+            added: DataFrame | None = None
+            for e in own:
+                hit = rows.join(gone[e.parent, e.parent_key], F.col(e.child_key) == F.col("k"), "left_semi").withColumn("key_name", F.lit(e.child_key))
+                hit = hit if added is None else hit.join(added, [hit[c].eqNullSafe(added[c]) for c in identity_of], "left_anti")
+                added = hit if added is None else added.unionByName(hit)
+            if added is None:
                 continue
-            rows, columns = state[t], state[t].columns
-            depth, why = F.col("depth"), F.col("key_name")
-            for i, e in enumerate(live):
-                by_parent = state[e.parent].filter(F.col(e.parent_key).isNotNull()).groupBy(F.col(e.parent_key).alias(f"p{i}")).agg(F.bool_and(F.col("depth").isNotNull()).alias(f"all{i}"))
-                rows = rows.join(by_parent.filter(f"all{i}"), F.col(e.child_key) == F.col(f"p{i}"), "left")
-                hit = F.col(f"p{i}").isNotNull()
-                why = F.when(depth.isNull() & hit, F.lit(e.child_key)).otherwise(why)
-                depth = F.when(depth.isNull() & hit, F.lit(n + 1)).otherwise(depth)
-            kept = [c for c in columns if c not in ("depth", "key_name")]
-            changed[t] = materialize(rows.select(*kept, depth.alias("depth"), why.alias("key_name")), f"fk-{t}-{n + 1}")
-        if not changed:
-            break
-        state = state | changed
-    return state
+            # A key is lost once, so only another key can lead to a row a second time.
+            for old in found[t][1:] if len({e.child_key for e in edges if e.child == t}) > 1 else []:
+                added = added.join(old, [added[c].eqNullSafe(old[c]) for c in identity_of], "left_anti")
+            new = materialize(added.withColumn("depth", F.lit(n)), f"fk-{t}-{n}")
+            if not new.isEmpty():
+                frontier[t] = new
+                found[t].append(new)
+        if not frontier:
+            return found
+    raise AssertionError
 
 
 def cascade(spark: SparkSession, tables: dict[str, DataFrame], edges: Sequence[Edge]) -> DataFrame:
@@ -119,8 +149,8 @@ def cascade(spark: SparkSession, tables: dict[str, DataFrame], edges: Sequence[E
     one (depth n + 1) when every parent row that it names by some key is an orphan of depth n or less. The
     fixpoint is reached by semi joins down the graph, one round per level; a cycle ends because a row gets a
     depth once only. Each table is first reduced to its distinct combinations of key columns with a count,
-    so repeated rows and hot keys are aggregated before any join, and each round is written to the shared
-    folder, which cuts lineage. Tables without rows give no orphans; null keys refer to nothing.
+    so repeated rows and hot keys are aggregated before any join, and what each round adds is written to the
+    shared folder, which cuts lineage. Tables without rows give no orphans; null keys refer to nothing.
     """
     keys: dict[str, list[str]] = {t: [] for t in tables}
     for e in edges:
@@ -137,13 +167,12 @@ def cascade(spark: SparkSession, tables: dict[str, DataFrame], edges: Sequence[E
             dangling = F.col(e.child_key).isNotNull() & F.col(f"p{i}").isNull()
             depth, why = F.coalesce(depth, F.when(dangling, F.lit(0))), F.coalesce(why, F.when(dangling, F.lit(e.child_key)))
         state[t] = materialize(rows.select(*keys[t], "n_rows", depth.alias("depth"), why.alias("key_name")), f"fk-{t}-0")
-    state = _inherit(state, edges)
     out: DataFrame | None = None
-    for t, rows in state.items():
+    for t, rows in ((t, r) for t, rounds in _inherit(state, edges).items() for r in rounds):
         by_name = F.lit(None).cast("string")
         for k in keys[t]:
             by_name = F.when(F.col("key_name") == k, F.col(k)).otherwise(by_name)
-        part = rows.filter("depth IS NOT NULL").select(F.lit(t).alias("table_name"), "key_name", by_name.alias("key"), F.when(F.col("depth") == 0, MISSING).otherwise(INHERITED).alias("reason"), "depth", "n_rows")
+        part = rows.select(F.lit(t).alias("table_name"), "key_name", by_name.alias("key"), F.when(F.col("depth") == 0, MISSING).otherwise(INHERITED).alias("reason"), "depth", "n_rows")
         out = part if out is None else out.unionByName(part)
     assert out is not None
     return out.groupBy("table_name", "key_name", "key", "reason", "depth").agg(F.sum("n_rows").alias("n_rows"))
@@ -162,8 +191,9 @@ def cascade_references(refs: Sequence[Reference], parent: DataFrame, children: S
     start = rows.select("table_name", "period", "key", "reason", F.when(F.col("reason").isNotNull(), F.lit(0)).alias("depth"), F.lit(None).cast("string").alias("key_name"))
     state = {r.name: start.filter(F.col("table_name") == r.name) for r in refs}
     out: DataFrame | None = None
-    for part in _inherit(state, [Edge(child, "key", of, "key") for child, of in children]).values():
-        part = part.filter("depth IS NOT NULL").select("table_name", "period", "key", F.coalesce("reason", F.lit(INHERITED)).alias("reason"), "depth")
+    found = _inherit(state, [Edge(child, "key", of, "key") for child, of in children])
+    for part in (r for rounds in found.values() for r in rounds):
+        part = part.select("table_name", "period", "key", F.coalesce("reason", F.lit(INHERITED)).alias("reason"), "depth")
         out = part if out is None else out.unionByName(part)
     assert out is not None
     return out

@@ -128,8 +128,15 @@ def p2_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries that are copies of an earlier delivery of the same message."""
-    return dedupe.redundant_copies(table(spark, sf_dir, "deliveries").select("delivery_id", *MESSAGE), MESSAGE, ["delivery_id"]).select("delivery_id")
+    """Deliveries that are copies of an earlier delivery of the same message; they are numbered as they arrive."""
+    rows = table(spark, sf_dir, "deliveries").select("delivery_id", "received_at", *MESSAGE)
+    return dedupe.redundant_copies(rows, MESSAGE, ["delivery_id", "received_at"]).select("delivery_id")
+
+
+def p3_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many copies there are per version where only the day of delivery is known, so that most copies tie."""
+    rows = table(spark, sf_dir, "deliveries").select("delivery_id", F.to_date("received_at").alias("day"), *MESSAGE)
+    return dedupe.redundant_copies(rows, MESSAGE, ["day"]).groupBy("document_version").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def p3_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,15 +167,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cascade(spark, sf_dir).filter("depth = 0").select("table_name", "period", F.col("key").alias("document_id"), "reason")
 
 
-def p5_inherited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents per table, month and depth of which rows without a reason of their own hang below orphans only."""
-    found = _cascade(spark, sf_dir).filter("depth > 0")
-    return found.groupBy("table_name", "period", "depth").agg(F.count_distinct("key").alias("documents"))
-
-
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orphaned documents per table, month and reason."""
-    return p5_found(spark, sf_dir).groupBy("table_name", "period", "reason").agg(F.count(F.lit(1)).alias("documents"))
+    """Orphaned documents per table, month and reason: direct ones (depth 0), and inherited ones, of which rows
+    without a reason of their own hang below orphans only."""
+    return _cascade(spark, sf_dir).groupBy("table_name", "period", "reason", "depth").agg(F.count_distinct("key").alias("documents"))
 
 
 def p5_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +186,7 @@ def p5_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("table_name", F.col("key").alias("document_id"), "reason", "depth", "n_rows")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_late_after_compaction, p1_changes_by_state, p2_found, p2_after_replay, p2_next_run, p2_backlog, p3_found, p3_messages, p5_found, p5_report, p5_inherited, p5_cascade)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_compacted, p1_late_after_compaction, p1_changes_by_state, p2_found, p2_after_replay, p2_next_run, p2_backlog, p3_found, p3_messages, p3_by_day, p5_found, p5_report, p5_cascade)}
 
 
 def _uuid_sql(c: str) -> str:
@@ -230,12 +232,13 @@ SELECT cur.d AS document_id, cur.n AS version FROM cur LEFT JOIN even ON even.d
     "p2_backlog": f"""WITH {_DUE} SELECT held.n IS NULL AS never_indexed, count(*) AS documents, CAST(sum(cur.n - coalesce(held.n, 0)) AS BIGINT) AS versions_behind
 FROM cur LEFT JOIN held ON cur.d = held.d WHERE cur.d IS NOT NULL AND cur.n IS NOT NULL AND (held.n IS NULL OR held.n < cur.n) GROUP BY 1""",
     "p3_found": f"WITH {_MESSAGES} SELECT delivery_id FROM (SELECT delivery_id, row_number() OVER (PARTITION BY ke, kd, document_version ORDER BY delivery_id) AS n FROM m WHERE ke IS NOT NULL AND kd IS NOT NULL AND document_version IS NOT NULL) WHERE n > 1",
+    "p3_by_day": f"WITH {_MESSAGES} SELECT document_version, CAST(sum(n) - count(*) AS BIGINT) AS copies FROM (SELECT document_version, count(*) AS n FROM m WHERE ke IS NOT NULL AND kd IS NOT NULL AND document_version IS NOT NULL GROUP BY document_version, ke, kd) GROUP BY 1 HAVING sum(n) > count(*)",
     "p3_messages": f"""WITH {_MESSAGES}, k AS (SELECT *, row_number() OVER (PARTITION BY ke, kd, document_version ORDER BY delivery_id) AS n FROM m)
 SELECT topic_partition, count(*) AS messages, CAST(sum(delivery_id) AS BIGINT) AS id_sum, max(topic_offset) AS last_offset FROM k
 WHERE n = 1 OR ke IS NULL OR kd IS NULL OR document_version IS NULL GROUP BY 1""",
     "p5_found": f"WITH {_ORPHANS} SELECT table_name, period, document_id, reason FROM f",
-    "p5_report": f"WITH {_ORPHANS} SELECT table_name, period, reason, count(*) AS documents FROM f GROUP BY ALL",
-    "p5_inherited": f"""WITH {_ORPHANS} SELECT table_name, period, 1 AS depth, count(DISTINCT document_id) AS documents FROM o
+    "p5_report": f"""WITH {_ORPHANS} SELECT table_name, period, reason, 0 AS depth, count(*) AS documents FROM f GROUP BY ALL
+UNION ALL SELECT table_name, period, 'inherited', 1, count(DISTINCT document_id) FROM o
 WHERE table_name = 'chunks' AND reason IS NULL AND document_id IN (SELECT document_id FROM o WHERE table_name = 'index_state' GROUP BY 1 HAVING bool_and(reason IS NOT NULL)) GROUP BY ALL""",
     "p5_cascade": f"""WITH {_CASCADE}
 SELECT 'index_state' AS table_name, k AS document_id, 'missing' AS reason, 0 AS depth, n AS n_rows FROM i WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM d WHERE k IS NOT NULL)
