@@ -32,16 +32,16 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of chunks that are each among the other's 5 nearest, with a cosine of at least 0.95."""
-    config = vectors.SearchConfig(p=0.9999, min_cosine=0.95)
+    config = vectors.SearchConfig(p=0.999, min_cosine=0.95)
     return vectors.mutual_pairs(vectors.nearest(table(spark, sf_dir, "chunks"), config))
 
 
 def p6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest chunks of every chunk whose id is divisible by 100, with their contents."""
     chunks = table(spark, sf_dir, "chunks")
-    found = vectors.nearest(chunks, vectors.SearchConfig(), queries=F.col("id") % 100 == 0)
+    found = vectors.nearest(chunks, vectors.SearchConfig(p=0.999), queries=F.col("id") % 100 == 0)
     contents = chunks.groupBy(F.col("id").alias("neighbour")).agg(F.min("content").alias("content"))
-    return found.join(contents, "neighbour", "left").select(F.col("query").alias("id"), "rank", F.col("neighbour").alias("neighbour_id"), F.round(F.col("cosine").cast("double"), 5).alias("cosine"), "content")
+    return found.join(contents, "neighbour", "left").select(F.col("query").alias("id"), "rank", F.col("neighbour").alias("neighbour_id"), F.round(F.col("cosine").cast("double"), 3).alias("cosine"), "content")
 
 
 def vocabulary() -> str:

@@ -2,14 +2,16 @@
 
 Vectors are scaled to unit length, so the order by Euclidean distance is that by cosine, and projected by a
 Gaussian matrix to ``m`` dimensions. For a pair at distance d the squared projected distance over d squared
-follows a chi-square distribution with m degrees of freedom. A search visits projected neighbours, verifies
-them with the full vectors, and leaves out what a chi-square test says cannot be nearer than the k-th best
-verified so far (or than the given least cosine) with probability ``p``. So a true neighbour is missed with
-probability 1 - p at most.
+follows a chi-square distribution with m degrees of freedom. A search visits projected neighbours leaf by leaf,
+verifies them with the full vectors, and stops where a chi-square test says that nothing that is left can be
+nearer than the k-th best verified so far with probability ``p``. So a true neighbour is missed with probability
+1 - p at most. A query first searches the leaf of the upper kd-tree that it lies in, and with the k-th best found
+there only those other leaves that pass the test.
 """
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,12 +32,16 @@ class SearchConfig:
     width: int = 64
     m: int = 12
     p: float = 0.95
+    #: If given, neighbours below this cosine do not count, so the search starts as if k of it had been found.
     min_cosine: float | None = None
-    #: Rows of a part of the index: what one task holds of either side.
+    #: Rows of a part of the index, a leaf of the upper kd-tree: what one task holds of either side.
     part_rows: int = 16_384
     leaf_rows: int = 512
-    #: The upper levels of the kd-tree are fitted on a sample of at most about so many rows.
-    sample_rows: int = 50_000
+    #: At most so many parts there are, whose boxes (100 bytes each) are known to every task; from a thousand
+    #: million rows on parts hold more rows instead.
+    most_parts: int = 65_536
+    #: The splits of the upper kd-tree are fitted on a sample of about so many rows per part, 48 bytes each.
+    sample_per_part: int = 32
     seed: int = 20_240
 
     def __post_init__(self) -> None:
@@ -152,86 +158,115 @@ def _order_leaves(points: np.ndarray, leaf_rows: int) -> tuple[np.ndarray, list[
 
 
 class Part:
-    """A part of the index with its local kd-tree."""
+    """Rows of a part with a local kd-tree over their projections, and the k best found for each so far."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, config: SearchConfig, matrix: np.ndarray) -> None:
         projected = vectors @ matrix
         order, self.bounds = _order_leaves(projected, config.leaf_rows)
         self.ids, self.v, self.x = ids[order], vectors[order], projected[order]
         self.half = (self.x.astype(np.float64) ** 2).sum(axis=1).astype(np.float32) / 2
-        spans = list(zip(self.bounds, self.bounds[1:]))
-        self.low = np.array([self.x[a:b].min(axis=0) for a, b in spans]).reshape(len(spans), config.m)
-        self.high = np.array([self.x[a:b].max(axis=0) for a, b in spans]).reshape(len(spans), config.m)
-
-    def to_boxes(self, x: np.ndarray) -> np.ndarray:
-        """Squared projected distance of each point to the box of each leaf."""
-        out = np.empty((len(x), len(self.low)), dtype=np.float32)
-        for j in range(len(self.low)):
-            gap = np.maximum(np.maximum(self.low[j] - x, x - self.high[j]), 0)
-            out[:, j] = np.einsum("ij,ij->i", gap, gap)
-        return out
-
-
-def search_range(q: Part, t: Part, config: SearchConfig, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row in q, row in t, cosine) of pairs of at least ``min_cosine``; with ``same``, each pair once."""
-    assert config.min_cosine is not None
-    limit = chi_square_quantile(config.p, config.m) * 2 * (1 - config.min_cosine)
-    rows, cols, cosines = [], [], []
-    ones = np.ones((len(t.ids), 1), dtype=np.float32)
-    right = np.hstack([t.x, ones, -t.half[:, None]])
-    left = np.hstack([q.x, (limit / 2 - q.half)[:, None], np.ones((len(q.ids), 1), dtype=np.float32)])
-    for qa, qb in zip(q.bounds, q.bounds[1:]):
-        near = t.to_boxes(q.x[qa:qb]) <= limit
-        for j in np.flatnonzero(near.any(axis=0)):
-            ta, tb = t.bounds[j], t.bounds[j + 1]
-            if same and tb <= qa:
+        self.spans = [(a, b) for a, b in zip(self.bounds, self.bounds[1:]) if a < b]
+        self.low = np.array([self.x[a:b].min(axis=0) for a, b in self.spans]).reshape(len(self.spans), config.m)
+        self.high = np.array([self.x[a:b].max(axis=0) for a, b in self.spans]).reshape(len(self.spans), config.m)
+        self.k, self.scale = config.k, chi_square_quantile(config.p, config.m)
+        least = -2.0 if config.min_cosine is None else config.min_cosine - 1e-7
+        self.best = np.full((len(ids), config.k), least, dtype=np.float32)
+        self.who = np.full((len(ids), config.k), -1, dtype=np.int64)
+
+    def reach(self, a: int, b: int) -> np.ndarray:
+        """The squared projected distance beyond which nothing can be nearer than the k-th best of rows a to b."""
+        return np.maximum(self.scale * 2 * (1 - self.best[a:b, -1]), 0)
+
+    def know(self, query: np.ndarray, cosine: np.ndarray) -> None:
+        """Start from cosines found before (their neighbours are known elsewhere)."""
+        if len(query):
+            order = np.argsort(self.ids)
+            row = order[np.searchsorted(self.ids, query, sorter=order)]
+            self.few(row, np.full(len(row), -1), cosine)
+
+    def dense(self, rows: np.ndarray, ids: np.ndarray, cosine: np.ndarray) -> None:
+        """Take the best of a matrix of cosines, a line per row and a column per id."""
+        new = np.flatnonzero((cosine > self.best[rows, -1][:, None]).any(axis=1))
+        if not len(new):
+            return
+        rows, cosine = rows[new], cosine[new]
+        merged = np.hstack([self.best[rows], cosine])
+        names = np.hstack([self.who[rows], np.broadcast_to(ids, cosine.shape)])
+        top = np.argpartition(-merged, self.k - 1, axis=1)[:, :self.k]
+        got = np.take_along_axis(merged, top, axis=1)
+        place = np.argsort(-got, axis=1, kind="stable")
+        self.best[rows] = np.take_along_axis(got, place, axis=1)
+        self.who[rows] = np.take_along_axis(np.take_along_axis(names, top, axis=1), place, axis=1)
+
+    def few(self, rows: np.ndarray, ids: np.ndarray, cosine: np.ndarray) -> None:
+        """Take single pairs of row and id."""
+        keep = cosine > self.best[rows, -1]
+        rows, ids, cosine = rows[keep], ids[keep], cosine[keep]
+        own = np.unique(rows)
+        if not len(own):
+            return
+        r = np.concatenate([np.repeat(own, self.k), rows])
+        c = np.concatenate([self.best[own].ravel(), cosine.astype(np.float32)])
+        w = np.concatenate([self.who[own].ravel(), ids])
+        r, w, c = _top(r, w, c, self.k)
+        self.best[own], self.who[own] = c.reshape(-1, self.k), w.reshape(-1, self.k)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        r, c = np.nonzero(self.who >= 0)
+        return self.ids[r], self.who[r, c], self.best[r, c]
+
+
+def _gap(low: np.ndarray, high: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of the boxes ``low`` .. ``high`` to a box (or point) ``a`` .. ``b``."""
+    gap = np.maximum(np.maximum(low - b, a - high), 0)
+    return np.einsum("ij,ij->i", gap, gap)
+
+
+def search(q: Part, t: Part, both: bool = False) -> None:
+    """Find for the rows of ``q`` their nearest in ``t``, and with ``both`` the other way round, too.
+
+    The leaves of ``t`` are visited from the nearest to a leaf of ``q`` on, until no row of that has anything left
+    within its reach. Of a leaf only projected neighbours within reach are verified; where these are many, a
+    product of whole matrices is cheaper than picking them.
+    """
+    width = t.x.shape[1]
+    left, right = np.ones((len(q.ids), width + 2), np.float32), np.ones((len(t.ids), width + 2), np.float32)
+    left[:, :width], right[:, :width], right[:, width + 1] = q.x, t.x, -t.half
+    for qa, qb in q.spans:
+        x = q.x[qa:qb]
+        gaps = _gap(t.low, t.high, x.min(axis=0), x.max(axis=0))
+        for j in np.argsort(gaps, kind="stable"):
+            ta, tb = t.spans[j]
+            if q is t and tb <= qa and both:
+                continue  # seen from the other side
+            reach = q.reach(qa, qb)
+            if both:
+                reach = np.maximum(reach, t.reach(ta, tb).max())
+            if gaps[j] > reach.max():
+                break
+            gap = np.maximum(np.maximum(t.low[j] - x, x - t.high[j]), 0)
+            active = np.einsum("ij,ij->i", gap, gap) <= reach
+            if not active.any():
                 continue
-            active = qa + np.flatnonzero(near[:, j])
-            hit = np.flatnonzero((left[active] @ right[ta:tb].T).ravel() >= 0)
-            if len(hit):
-                r, c = active[hit // (tb - ta)], ta + hit % (tb - ta)
+            # Half the reach less half the squared projected distance, as one product of matrices.
+            left[qa:qb, width] = reach / 2 - q.half[qa:qb]
+            own = qa + np.flatnonzero(active)
+            near = left[own] @ right[ta:tb].T >= 0
+            hit = np.flatnonzero(near)
+            if len(hit) > near.size // 16:
+                cosine = q.v[own] @ t.v[ta:tb].T
+                cosine[q.ids[own][:, None] == t.ids[ta:tb][None, :]] = -3.0
+                q.dense(own, t.ids[ta:tb], cosine)
+                if both and not (q is t and ta == qa):
+                    t.dense(np.arange(ta, tb), q.ids[own], np.ascontiguousarray(cosine.T))
+            elif len(hit):
+                r, c = own[hit // (tb - ta)], ta + hit % (tb - ta)
+                other = q.ids[r] != t.ids[c]
+                r, c = r[other], c[other]
                 cosine = np.einsum("ij,ij->i", q.v[r], t.v[c])
-                keep = cosine >= config.min_cosine
-                if same:
-                    keep &= r < c
-                rows.append(r[keep])
-                cols.append(c[keep])
-                cosines.append(cosine[keep])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    return np.concatenate(rows), np.concatenate(cols), np.concatenate(cosines)
-
-
-def search_nearest(q: Part, t: Part, config: SearchConfig) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row in q, row in t, cosine): the k nearest, found leaf by leaf until the chi-square test holds."""
-    scale = chi_square_quantile(config.p, config.m)
-    n, k = len(q.ids), config.k
-    best = np.full((n, k), -2.0, dtype=np.float32)
-    who = np.full((n, k), -1, dtype=np.int64)
-    boxes = t.to_boxes(q.x)
-    order = np.argsort(boxes, axis=1, kind="stable")
-    active = np.arange(n)
-    for step in range(order.shape[1]):
-        if not len(active):
-            break
-        # The least projected distance of what is left, against the k-th verified distance.
-        leaf = order[active, step]
-        reach = scale * 2 * (1 - best[active, -1])
-        active = active[boxes[active, leaf] <= reach]
-        leaf = order[active, step]
-        for j in np.unique(leaf):
-            own, (a, b) = active[leaf == j], t.bounds[j:j + 2]
-            cosine = q.v[own] @ t.v[a:b].T
-            cosine[q.ids[own][:, None] == t.ids[a:b][None, :]] = -3.0
-            merged = np.hstack([best[own], cosine])
-            names = np.hstack([who[own], np.broadcast_to(np.arange(a, b), cosine.shape)])
-            top = np.argsort(-merged, axis=1, kind="stable")[:, :k] if b - a < 2 * k else np.argpartition(-merged, k - 1, axis=1)[:, :k]
-            got = np.take_along_axis(merged, top, axis=1)
-            place = np.argsort(-got, axis=1, kind="stable")
-            best[own] = np.take_along_axis(got, place, axis=1)
-            who[own] = np.take_along_axis(np.take_along_axis(names, top, axis=1), place, axis=1)
-    r, c = np.nonzero(best > -1.5)
-    return r, who[r, c], best[r, c]
+                q.few(r, t.ids[c], cosine)
+                if both and not (q is t and ta == qa):
+                    t.few(c, q.ids[r], cosine)
 
 
 def _top(query: np.ndarray, other: np.ndarray, cosine: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
@@ -244,132 +279,174 @@ def _top(query: np.ndarray, other: np.ndarray, cosine: np.ndarray, k: int) -> tu
     return query[keep], other[keep], cosine[keep]
 
 
-def _list_parts(root: str) -> list[str]:
+def _read(root: str, part: int, columns: list[str]) -> Any:
+    """The rows of a part as one Arrow table; None where there are none."""
+    import pyarrow as pa
     import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
 
     fs, base = pafs.FileSystem.from_uri(root)
-    found = fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
-    return sorted(f.path[len(base):] for f in found if f.base_name.endswith(".parquet") and f.size)
+    found = fs.get_file_info(pafs.FileSelector(f"{base}/part={part}", allow_not_found=True))
+    files = sorted(f.path for f in found if f.base_name.endswith(".parquet"))
+    return pa.concat_tables([pq.ParquetFile(fs.open_input_file(f)).read(columns=columns) for f in files]).combine_chunks() if files else None
 
 
-def _load(root: str, name: str, config: SearchConfig, matrix: np.ndarray) -> Part:
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
+def _floats(column: Any, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(-1, width)
 
-    fs, base = pafs.FileSystem.from_uri(root)
-    t = pq.read_table(fs.open_input_file(base + name), columns=["id", "u"]).combine_chunks()
-    raw = b"".join(t.column("u").to_pylist())
-    return Part(t.column("id").to_numpy(), np.frombuffer(raw, dtype=np.float32).reshape(-1, config.width), config, matrix)
+
+def _load(root: str, part: int, config: SearchConfig, matrix: np.ndarray, asked: bool = False) -> Part:
+    """A part of the index, or only the rows in it that are queries."""
+    t = _read(root, part, ["id", "u", "asked"])
+    if asked and t is not None:
+        t = t.filter(t.column("asked")).combine_chunks()
+    if t is None or not t.num_rows:
+        return Part(np.zeros(0, np.int64), np.zeros((0, config.width), np.float32), config, matrix)
+    return Part(t.column("id").to_numpy(), _floats(t.column("u"), config.width), config, matrix)
+
+
+def _begin(first: str, part: int, rows: Part) -> Part:
+    """The rows with what the first round found for them."""
+    t = _read(first, part, ["query", "cosine"])
+    if t is not None:
+        rows.know(t.column("query").to_numpy(), t.column("cosine").to_numpy())
+    return rows
 
 
-def write_index(units: DataFrame, config: SearchConfig, n_rows: int, name: str) -> str:
-    """Write (``id``, ``u``) as parts of at most ``part_rows`` rows, one leaf of the upper kd-tree each or,
-    where a leaf holds more, several. Every row is indexed; only the splits come from a sample."""
+def write_index(units: DataFrame, config: SearchConfig, n_rows: int, name: str) -> tuple[str, int]:
+    """Write (``id``, ``u``, ``asked``) as parts, the leaves of the upper kd-tree, and return their folder and
+    number. Every row is indexed; only the splits come from a sample of bounded size."""
     spark, root = units.sparkSession, new_folder(units.sparkSession, name)
-    depth = max(0, math.ceil(math.log2(max(1, n_rows / (config.part_rows * 0.8)))))
-    matrix = projection(config)
-    every = max(1, math.ceil(n_rows / config.sample_rows))
-    if depth:
-        sample = units.filter(F.pmod(F.xxhash64("id", F.lit(config.seed)), F.lit(every)) == 0).select("u").collect()
-        points = np.frombuffer(b"".join(r[0] for r in sample), dtype=np.float32).reshape(-1, config.width) @ matrix
-        splits = Splits.fit(points, depth)
-    else:
-        splits = Splits(np.zeros(0, np.int64), np.zeros(0, np.float32), 0)
+    depth = max(0, min(math.ceil(math.log2(max(1, n_rows / (config.part_rows * 0.8)))), int(math.log2(config.most_parts))))
+    matrix, m = projection(config), config.m
 
-    def route(batches: Iterator[Any]) -> Iterator[Any]:
+    def project(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
 
         for b in batches:
-            u = np.frombuffer(b"".join(b.column(1).to_pylist()), dtype=np.float32).reshape(-1, config.width)
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(splits.leaf(u @ matrix), pa.int32())], names=["id", "u", "leaf"])
+            yield pa.record_batch([_as_binary(_floats(b.column(0), config.width) @ matrix)], names=["x"])
+
+    splits = Splits(np.zeros(0, np.int64), np.zeros(0, np.float32), 0)
+    if depth:
+        every = max(1, n_rows // (config.sample_per_part * 2**depth))
+        sample = units.filter(F.pmod(F.xxhash64("id", F.lit(config.seed)), F.lit(every)) == 0).select("u").mapInArrow(project, "x binary").collect()
+        splits = Splits.fit(np.frombuffer(b"".join(r[0] for r in sample), dtype=np.float32).reshape(-1, m), depth)
 
-    routed = units.mapInArrow(route, "id long, u binary, leaf int")
-    routed.repartition(max(1, min(2**depth, 4096)), "leaf").write.option("maxRecordsPerFile", config.part_rows).option("compression", "uncompressed").partitionBy("leaf").parquet(root)
-    return root
+    def route(batches: Iterator[Any]) -> Iterator[Any]:
+        import pyarrow as pa
 
+        for b in batches:
+            part = splits.leaf(_floats(b.column(1), config.width) @ matrix)
+            yield pa.record_batch([*b.columns, pa.array(part, pa.int32())], names=["id", "u", "asked", "part"])
 
-#: Up to so many parts their boxes are gathered (96 bytes each); beyond, pairs of parts are not sifted by them.
-MOST_BOXES = 200_000
+    routed = units.select("id", "u", "asked").mapInArrow(route, "id long, u binary, asked boolean, part int")
+    routed.repartition(max(1, min(2**depth, 4096)), "part").write.option("compression", "uncompressed").partitionBy("part").parquet(root)
+    return root, 2**depth
 
 
-def _boxes(spark: Any, root: str, parts: list[str], config: SearchConfig) -> tuple[np.ndarray, np.ndarray] | None:
-    """The least and greatest projected coordinates of each part: the leaves of the upper kd-tree, as they are."""
-    if not 1 < len(parts) <= MOST_BOXES:
-        return None
-    names = spark.sparkContext.broadcast(parts)
+def _boxes(spark: Any, root: str, parts: int, config: SearchConfig) -> tuple[np.ndarray, np.ndarray]:
+    """The least and greatest projected coordinates of each part (infinitely far ones where a part is empty):
+    at most ``most_parts`` rows of 100 bytes."""
 
     def measure(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
 
         matrix = projection(config)
         for b in batches:
-            own = b.column(0).to_pylist()
-            x = [_load(root, names.value[n], config, matrix).x for n in own]
-            box = _as_binary(np.array([np.concatenate([p.min(axis=0), p.max(axis=0)]) for p in x], dtype=np.float32))
-            yield pa.record_batch([pa.array(own, pa.int64()), box], names=["n", "box"])
-
-    rows = spark.range(0, len(parts), 1, min(len(parts), 2000)).mapInArrow(measure, "n long, box binary").collect()
+            own, box = b.column(0).to_pylist(), []
+            for n in own:
+                t = _read(root, n, ["u"])
+                x = _floats(t.column("u"), config.width) @ matrix if t is not None else np.full((1, config.m), np.inf, np.float32)
+                box.append(np.concatenate([x.min(axis=0), x.max(axis=0)]))
+            yield pa.record_batch([pa.array(own, pa.int64()), _as_binary(np.array(box, dtype=np.float32))], names=["n", "box"])
+
+    rows = spark.range(0, parts, 1, min(parts, 2000)).mapInArrow(measure, "n long, box binary").collect()
     out = np.array([np.frombuffer(r["box"], dtype=np.float32) for r in sorted(rows, key=lambda r: r["n"])])
     return out[:, :config.m], out[:, config.m:]
 
 
-def _search(spark: Any, q_root: str, t_root: str, config: SearchConfig) -> DataFrame:
-    """All pairs of parts whose boxes are near enough, one task a few; each loads its two parts from the
-    shared folder, so that nothing is shuffled but what was found."""
-    same = q_root == t_root
-    q_parts, t_parts = _list_parts(q_root), _list_parts(t_root)
-    q_boxes = t_boxes = None
-    if config.min_cosine is not None:
-        q_boxes = _boxes(spark, q_root, q_parts, config)
-        t_boxes = q_boxes if same else _boxes(spark, t_root, t_parts, config)
-    names = spark.sparkContext.broadcast((q_parts, t_parts, q_boxes, t_boxes))
-    reach = math.inf if config.min_cosine is None else chi_square_quantile(config.p, config.m) * 2 * (1 - config.min_cosine)
-    n_t = len(t_parts)
-
-    def run(batches: Iterator[Any]) -> Iterator[Any]:
-        import pyarrow as pa
+def _batch(hits: tuple[np.ndarray, np.ndarray, np.ndarray], part: int | None = None) -> Any:
+    import pyarrow as pa
+
+    query, neighbour, cosine = hits
+    columns, names = [pa.array(query, pa.int64()), pa.array(neighbour, pa.int64()), pa.array(cosine, pa.float32())], ["query", "neighbour", "cosine"]
+    if part is not None:
+        columns, names = [*columns, pa.array(np.full(len(query), part), pa.int32())], [*names, "part"]
+    return pa.record_batch(columns, names=names)
+
 
+def _rounds(spark: Any, root: str, parts: int, config: SearchConfig, every: bool) -> DataFrame:
+    """What every query finds in its own part, then in the other parts that pass the test.
+
+    ``every`` says that all rows are queries: then two parts are compared once for both. Vectors are read from the
+    shared folder by the tasks; only what was found, and the pairs of parts to compare, are rows of Spark.
+    """
+    boxes = spark.sparkContext.broadcast(_boxes(spark, root, parts, config))
+    first, pairs = new_folder(spark, "vector-own"), new_folder(spark, "vector-pairs")
+    width = min(parts, 20_000)
+
+    def own_part(batches: Iterator[Any]) -> Iterator[Any]:
         matrix = projection(config)
-        qs, ts, q_box, t_box = names.value
-        held: dict[tuple[str, str], Part] = {}
+        for b in batches:
+            for n in b.column(0).to_pylist():
+                t = _load(root, n, config, matrix)
+                q = t if every else _load(root, n, config, matrix, True)
+                search(q, t, every)
+                yield _batch(q.found(), n)
+
+    spark.range(0, parts, 1, width).mapInArrow(own_part, f"{FOUND}, part int").write.partitionBy("part").parquet(first)
 
-        def part(root: str, name: str) -> Part:
-            if (root, name) not in held:
-                if len(held) >= 4:
-                    held.pop(next(iter(held)))
-                held[(root, name)] = _load(root, name, config, matrix)
-            return held[(root, name)]
+    def within_reach(batches: Iterator[Any]) -> Iterator[Any]:
+        import pyarrow as pa
 
+        matrix, (low, high) = projection(config), boxes.value
         for b in batches:
             for n in b.column(0).to_pylist():
-                i, j = divmod(n, n_t)
-                if same and j < i:
-                    continue
-                if q_box is not None and t_box is not None:
-                    gap = np.maximum(np.maximum(t_box[0][j] - q_box[1][i], q_box[0][i] - t_box[1][j]), 0)
-                    if gap @ gap > reach:
-                        continue
-                q, t = part(q_root, qs[i]), part(t_root, ts[j])
-                if config.min_cosine is not None:
-                    r, c, cosine = search_range(q, t, config, same and i == j)
-                    a, o = q.ids[r], t.ids[c]
-                    if same:
-                        a, o, cosine = np.concatenate([a, o]), np.concatenate([o, a]), np.concatenate([cosine, cosine])
-                    else:
-                        a, o, cosine = a[a != o], o[a != o], cosine[a != o]
-                else:
-                    r, c, cosine = search_nearest(q, t, config)
-                    a, o = q.ids[r], t.ids[c]
-                    if same and i != j:
-                        r, c, back = search_nearest(t, q, config)
-                        a, o, cosine = np.concatenate([a, t.ids[r]]), np.concatenate([o, q.ids[c]]), np.concatenate([cosine, back])
-                a, o, cosine = _top(a, o, cosine, config.k)
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(o, pa.int64()), pa.array(cosine, pa.float32())], names=["query", "neighbour", "cosine"])
-
-    total = len(q_parts) * n_t
-    if total == 0:
-        return spark.createDataFrame([], FOUND)
-    return spark.range(0, total, 1, max(1, min(total, 20_000))).mapInArrow(run, FOUND)
+                q = _begin(first, n, _load(root, n, config, matrix, not every))
+                hit = np.zeros(parts, dtype=bool)
+                for a, z in q.spans if len(q.ids) else ():
+                    x, reach = q.x[a:z], q.reach(a, z)
+                    near = np.flatnonzero(~hit & (_gap(low, high, x.min(axis=0), x.max(axis=0)) <= reach.max()))
+                    for t in near:
+                        gap = np.maximum(np.maximum(low[t] - x, x - high[t]), 0)
+                        hit[t] = bool((np.einsum("ij,ij->i", gap, gap) <= reach).any())
+                hit[n] = False
+                others = np.flatnonzero(hit)
+                mine = np.full(len(others), n)
+                a, z = (np.minimum(mine, others), np.maximum(mine, others)) if every else (mine, others)
+                yield pa.record_batch([pa.array(a, pa.int32()), pa.array(z, pa.int32())], names=["q", "t"])
+
+    spark.range(0, parts, 1, width).mapInArrow(within_reach, "q int, t int").distinct().write.parquet(pairs)
+    todo = spark.read.schema("q int, t int").parquet(pairs)
+    n_pairs = todo.count()
+    own = spark.read.schema(f"{FOUND}, part int").parquet(first).select("query", "neighbour", "cosine")
+    if not n_pairs:
+        return own
+
+    def compare(batches: Iterator[Any]) -> Iterator[Any]:
+        matrix = projection(config)
+        held: dict[int, Part] = {}
+        for b in batches:
+            for i, j in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if i not in held:
+                    held = {i: _load(root, i, config, matrix, not every)}
+                q, t = _begin(first, i, _fresh(held[i], config)), _load(root, j, config, matrix)
+                search(q, _begin(first, j, t) if every else t, every)
+                yield _batch(q.found())
+                if every:
+                    yield _batch(t.found())
+
+    # A number of partitions of its own, as the rows are few bytes; neighbours in a task share their first part.
+    spread = todo.repartitionByRange(max(1, min(n_pairs, 20_000)), "q", "t").sortWithinPartitions("q", "t")
+    return own.unionByName(spread.mapInArrow(compare, FOUND))
+
+
+def _fresh(part: Part, config: SearchConfig) -> Part:
+    """The same rows with nothing found."""
+    out = copy.copy(part)
+    least = -2.0 if config.min_cosine is None else config.min_cosine - 1e-7
+    out.best, out.who = np.full_like(part.best, least), np.full_like(part.who, -1)
+    return out
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -400,17 +477,14 @@ def nearest(rows: DataFrame, config: SearchConfig, id_column: str = "id", vector
     spark = rows.sparkSession
     stored = spark.read.schema("id long, u binary, ids array<long>").parquet(root)
     n_rows = stored.count()
-    t_root = write_index(stored.select("id", "u"), config, n_rows, "vector-index")
     wide = F.size("ids") > 1
+    asked = F.lit(True) if queries is None else F.coalesce(queries | wide, F.lit(False))
+    index, parts = write_index(stored.select("id", "u", asked.alias("asked")), config, n_rows, "vector-index")
     copies = stored.filter(wide)
-    # Every member of a group of copies, by its representative.
+    # Every member of a group of copies, by its representative. The rows of a group that holds a third of the table
+    # lie in one partition of this join, which AQE splits as it is skewed; the other side is a row per group.
     member_of = members.join(copies.select("u", F.col("id").alias("rep")), "u").select(F.col("id").alias("member"), "rep")
-    if queries is None:
-        q_root = t_root
-    else:
-        asked = stored.filter(queries | wide)
-        q_root = write_index(asked.select("id", "u"), config, max(1, asked.count()), "vector-queries")
-    by_rep = _best(_search(spark, q_root, t_root, config), k).select("query", "neighbour", "cosine")
+    by_rep = _best(_rounds(spark, index, parts, config, queries is None), k).select("query", "neighbour", "cosine")
     # A representative stands for its group: its members are neighbours of each other and of whom it is near.
     named = by_rep.join(copies.select(F.col("id").alias("neighbour"), "ids"), "neighbour", "left")
     near = named.select("query", F.explode(F.coalesce("ids", F.array("neighbour"))).alias("neighbour"), "cosine")
