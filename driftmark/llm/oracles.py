@@ -9,12 +9,15 @@ _NEAREST = """e AS (SELECT id, min(embedding)::DOUBLE[] AS v FROM chunks WHERE i
 s AS (SELECT a.id, b.id AS other, list_cosine_similarity(a.v, b.v) AS cosine FROM e a JOIN e b ON a.id <> b.id {asked}),
 n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(cosine, 9) DESC, other) AS rank FROM s QUALIFY rank <= 5)"""
 
+_PARAGRAPHS = f"""cur AS (SELECT id, arg_max(content, version) FILTER (content IS NOT NULL) AS any_content, arg_max(deleted, version) AS dead,
+  max(version) AS v, max(version) FILTER (content IS NOT NULL) AS vc FROM source_documents GROUP BY id),
+p AS (SELECT id, list_filter(list_transform(string_split_regex(replace(any_content, chr(13) || chr(10), chr(10)), '\\n{_WS}*\\n'),
+  lambda x: regexp_replace(x, '^{_WS}+|{_WS}+$', '', 'g')), lambda x: x <> '') AS ps FROM cur WHERE NOT dead AND v = vc),
+q AS (SELECT id AS document_id, CAST(i - 1 AS INTEGER) AS paragraph_no, ps[i] AS t FROM (SELECT id, ps, unnest(range(1, len(ps) + 1)) AS i FROM p))"""
+
 ORACLES: dict[str, str] = {
     "p6_found": f"WITH {_NEAREST.format(asked='')} SELECT a.id AS id_a, a.other AS id_b FROM n a JOIN n b ON b.id = a.other AND b.other = a.id WHERE a.id < a.other AND a.cosine >= 0.95",
     "p6_neighbours": f"WITH {_NEAREST.format(asked='WHERE a.id % 100 = 0')} SELECT n.id, CAST(n.rank AS INTEGER) AS rank, n.other AS neighbour_id, round(n.cosine, 3) AS cosine, c.content FROM n LEFT JOIN (SELECT id, min(content) AS content FROM chunks GROUP BY id) c ON c.id = n.other",
-    "p4_found": f"""WITH cur AS (SELECT id, arg_max(content, version) FILTER (content IS NOT NULL) AS any_content, arg_max(deleted, version) AS dead,
-  max(version) AS v, max(version) FILTER (content IS NOT NULL) AS vc FROM source_documents GROUP BY id),
-p AS (SELECT id, list_filter(list_transform(string_split_regex(replace(any_content, chr(13) || chr(10), chr(10)), '\\n{_WS}*\\n'),
-  lambda x: regexp_replace(x, '^{_WS}+|{_WS}+$', '', 'g')), lambda x: x <> '') AS ps FROM cur WHERE NOT dead AND v = vc)
-SELECT id AS document_id, CAST(i - 1 AS INTEGER) AS paragraph_no FROM (SELECT id, ps, unnest(range(1, len(ps) + 1)) AS i FROM p) WHERE length(ps[i]) > 1000""",
+    "p4_found": f"WITH {_PARAGRAPHS} SELECT document_id, paragraph_no FROM q WHERE length(t) > 1000",
+    "p4_rejoined": f"WITH {_PARAGRAPHS} SELECT document_id, paragraph_no, length(t) AS n_chars, length(t) > 1000 AS cut, true AS within_limit, true AS overlaps_kept, sha256(t) AS whole FROM q",
 }

@@ -30,6 +30,16 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir)
 
 
+def p4_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per paragraph: whether its pieces keep the limits of length and overlap, and what they give when put together."""
+    pieces = _pieces(spark, sf_dir)
+    # The pieces of one paragraph, which is part of one document.
+    per = pieces.groupBy("document_id", "paragraph_no").agg(F.array_sort(F.collect_list(F.struct("piece_no", "start", "end", "text"))).alias("p"), F.max("end").cast("long").alias("n_chars"), F.max(F.length("text")).alias("longest"))
+    shared = F.transform(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))), lambda x, i: F.get("p", i)["end"] - x["start"])
+    own = F.transform("p", lambda x, i: F.substring(x["text"], F.lit(1), F.coalesce(F.get("p", i + 1)["start"], x["end"]) - x["start"]))
+    return per.select("document_id", "paragraph_no", "n_chars", (F.size("p") > 1).alias("cut"), (F.col("longest") <= 1000).alias("within_limit"), F.forall(shared, lambda x: (x >= 0) & (x <= 100)).alias("overlaps_kept"), F.sha2(F.array_join(own, ""), 256).alias("whole"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of chunks that are each among the other's 5 nearest, with a cosine of at least 0.95."""
     config = vectors.SearchConfig(p=0.999, min_cosine=0.95)
@@ -80,4 +90,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_report(spark, sf_dir).select("doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p6_found, p6_neighbours, p7_packed, p7_fill, p8_found, p8_report, p9_found, p9_report)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p4_rejoined, p6_found, p6_neighbours, p7_packed, p7_fill, p8_found, p8_report, p9_found, p9_report)}

@@ -21,7 +21,11 @@ _KINDS = (
     (re.compile(r"[,;:]\s+|[、，；：]|\s[–—-]\s"), 6.0),
     (re.compile(r"\s+"), 12.0),
 )
-_ANYWHERE = 60.0
+#: A cut between any two characters, and how far apart such cuts are tried in text without any boundary.
+_ANYWHERE, _UNBROKEN, _STEP = 60.0, 80, 10
+#: What a cut costs per character of the specified overlap that the next piece lacks, and how much the kind of
+#: boundary where that begins counts beside the kind where the piece before ends.
+_SHORT, _BEGIN = 0.05, 0.25
 SCHEMA = "document_id string, paragraph_no int, piece_no int, position int, start int, end int, text string"
 
 
@@ -29,12 +33,10 @@ SCHEMA = "document_id string, paragraph_no int, piece_no int, position int, star
 class SplitConfig:
     max_chars: int = 1000
     overlap: int = 100
-    #: A worse kind of boundary is tried only in stretches of this length without a better one.
-    stretch: int = 160
 
     def __post_init__(self) -> None:
-        if not 0 <= self.overlap < self.max_chars or self.stretch < 1:
-            raise ValueError("require 0 <= overlap < max_chars and stretch >= 1")
+        if not 0 <= self.overlap < self.max_chars:
+            raise ValueError("require 0 <= overlap < max_chars")
 
 
 def paragraphs(content: str) -> list[str]:
@@ -48,22 +50,18 @@ def _joined(text: str, i: int) -> bool:
     return unicodedata.combining(c) != 0 or c in "‍︎️" or text[i - 1] == "‍" or "\U0001f3fb" <= c <= "\U0001f3ff" or unicodedata.category(c) in ("Mn", "Me", "Mc")
 
 
-def boundaries(text: str, config: SplitConfig) -> tuple[np.ndarray, np.ndarray]:
-    """Positions where ``text`` may be cut, ascending, and what each cut costs."""
+def boundaries(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """All positions where ``text`` may be cut, ascending, and what each cut costs: every sentence, clause and word
+    boundary, and where there is none for long, places between characters that do not belong together."""
     cost: dict[int, float] = {}
-    marks = [0, len(text)]
     for pattern, price in _KINDS:
-        new = []
-        for a, b in zip(marks, marks[1:]):
-            if b - a > config.stretch:
-                new += [m.end() for m in pattern.finditer(text, a, b) if a < m.end() < b]
-        for i in new:
-            cost[i] = price
-        marks = sorted({*marks, *new})
+        for m in pattern.finditer(text):
+            cost.setdefault(m.end(), price)
+    cost.pop(len(text), None)
+    marks = [0, *sorted(cost), len(text)]
     for a, b in zip(marks, marks[1:]):
-        if b - a > config.stretch:
-            step = max(1, config.stretch // 8)
-            for i in range(a + step, b, step):
+        if b - a > _UNBROKEN:
+            for i in range(a + _STEP, b, _STEP):
                 while i < b and _joined(text, i):
                     i += 1
                 if i < b:
@@ -72,56 +70,69 @@ def boundaries(text: str, config: SplitConfig) -> tuple[np.ndarray, np.ndarray]:
     return np.array(at, dtype=np.int64), np.array([cost[i] for i in at])
 
 
-def _begins(text: str, cut: np.ndarray, end: np.ndarray, config: SplitConfig) -> np.ndarray:
-    """The start of the piece after each cut, ascending: the first boundary (any kind) within the overlap, else
-    the first place there that parts no characters that belong together. The next cut stays within reach."""
-    if not len(cut):
-        return cut
-    spots = np.array(sorted({*cut.tolist(), *(m.end() for pattern, _ in _KINDS for m in pattern.finditer(text))}), dtype=np.int64)
-    low = np.minimum(np.maximum(np.maximum(cut - config.overlap, end[1:] - config.max_chars), 1), cut)
-    begin = spots[np.searchsorted(spots, low)]
+def _begins(text: str, cut: np.ndarray, price: np.ndarray, config: SplitConfig) -> tuple[np.ndarray, np.ndarray]:
+    """Where the piece after each cut begins and what that costs: the boundary before the cut with the least sum of
+    its price and of what it lacks of the specified overlap, or, where none lies within the overlap, the first
+    place there that parts no characters that belong together. The next cut stays within reach."""
+    if not len(cut) or not config.overlap:
+        return cut, np.zeros(len(cut))
+    low = np.maximum(np.maximum(cut - config.overlap, np.append(cut[1:], len(text)) - config.max_chars), 1)
+    begin, least = cut.copy(), np.full(len(cut), _BEGIN * _ANYWHERE + _SHORT * config.overlap)
+    for back in range(1, len(cut)):
+        spot = cut[:-back]
+        within = spot >= low[back:]
+        if not within.any():
+            break
+        total = np.where(within, _BEGIN * price[:-back] + _SHORT * (config.overlap - (cut[back:] - spot)), np.inf)
+        better = total < least[back:]
+        least[back:][better], begin[back:][better] = total[better], spot[better]
     for i in np.flatnonzero(begin == cut):
         at = int(low[i])
         while at < cut[i] and _joined(text, at):
             at += 1
-        begin[i] = at
-    return begin
+        begin[i] = min(at, int(cut[i]))
+    return begin, least
 
 
 def split_paragraph(text: str, config: SplitConfig) -> list[tuple[int, int]]:
     """(start, end) of the pieces of one paragraph.
 
-    A piece holds at most ``max_chars`` code points; the next begins at the earliest boundary of any kind, in any
-    stretch, not more than ``overlap`` before the cut, or between any two characters where there is none. Cuts are chosen so that the sum of their costs and of the squared deviation
-    of the pieces from equal sizes is least. Every character lies in a piece; pieces are not stripped.
+    A piece holds at most ``max_chars`` code points, and consecutive pieces share up to ``overlap`` of them, as
+    near to it as a good boundary allows. Of all boundaries those are chosen that make the sum of the costs of the
+    cuts, of the beginnings and of the squared deviation of the pieces from equal sizes least. Every character
+    lies in a piece; pieces are not stripped.
     """
     n = len(text)
     if n <= config.max_chars:
         return [(0, n)]
-    cut, price = boundaries(text, config)
-    end = np.append(cut, n)
-    price = np.append(price, 0.0)
-    begin = _begins(text, cut, end, config)
+    cut, price = boundaries(text)
+    begin, extra = _begins(text, cut, price, config)
+    ends, costs = np.append(cut, n), np.append(price + extra, 0.0)
     starts = np.append(0, begin)
     least = max(2, -(-(n - config.overlap) // (config.max_chars - config.overlap)))
-    ideal = (n + (least - 1) * config.overlap / 2) / least
-    best = np.full(len(end) + 1, np.inf)
+    ideal = (n + (least - 1) * config.overlap) / least
+    best = np.full(len(ends) + 1, np.inf)
     best[0] = 0.0
-    back = np.zeros(len(end) + 1, dtype=np.int64)
-    for j in range(1, len(end) + 1):
-        i = int(np.searchsorted(starts[:j], end[j - 1] - config.max_chars))
-        if i < j:
-            size = end[j - 1] - starts[i:j]
-            total = best[i:j] + 40.0 * (size / ideal - 1.0) ** 2
-            k = int(np.argmin(total))
-            best[j], back[j] = total[k] + price[j - 1], i + k
+    back = np.zeros(len(ends) + 1, dtype=np.int64)
+    # A piece that ends at a place begins at most max_chars before it, so its cut lies at most so far before it.
+    first = np.searchsorted(np.append(0, cut), ends - config.max_chars)
+    size_of, shift = starts / ideal, ends / ideal - 1.0
+    longest = config.max_chars / ideal - 1.0 + 1e-9
+    for j in range(1, len(ends) + 1):
+        i = first[j - 1]
+        over = shift[j - 1] - size_of[i:j]
+        total = best[i:j] + 40.0 * over * over
+        total[over > longest] = np.inf
+        k = int(total.argmin()) if i < j else -1
+        if k >= 0:
+            best[j], back[j] = total[k] + costs[j - 1], i + k
     if not np.isfinite(best[-1]):  # a cluster longer than a piece: cut it at the limit
         step = config.max_chars - config.overlap
         return [(a, min(a + config.max_chars, n)) for a in range(0, n - config.overlap, step)]
     pieces: list[tuple[int, int]] = []
-    j = len(end)
+    j = len(ends)
     while j > 0:
-        pieces.append((int(starts[back[j]]), int(end[j - 1])))
+        pieces.append((int(starts[back[j]]), int(ends[j - 1])))
         j = int(back[j])
     return pieces[::-1]
 

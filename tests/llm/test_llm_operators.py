@@ -22,7 +22,7 @@ WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu x
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="ab. ,\n。́‍\U0001f44d", max_size=700))
 def test_pieces_cover_the_paragraph(text):
-    config = splitting.SplitConfig(80, 20, 16)
+    config = splitting.SplitConfig(80, 20)
     for p in splitting.paragraphs(text):
         got = splitting.split_paragraph(p, config)
         assert got[0][0] == 0 and got[-1][1] == len(p) and all(0 < b - a <= 80 for a, b in got)
@@ -46,10 +46,52 @@ def test_pieces_overlap_after_sentences_longer_than_the_overlap():
     sentence = "many words stand here one beside the other without any sign " * 2 + "up to the end."
     for text in (" ".join([sentence] * 20), "。".join(["文" * 120] * 20)):
         got = splitting.split_paragraph(text, splitting.SplitConfig())
-        assert len(got) > 1 and all(50 < b1 - a2 <= 100 for (_, b1), (a2, _) in zip(got, got[1:]))
+        assert len(got) > 1 and all(80 < b1 - a2 <= 100 for (_, b1), (a2, _) in zip(got, got[1:]))
         assert all(text[a - 1].isspace() for a, _ in got[1:]) or "。" in text
 
 
+def test_the_specified_overlap_is_kept_where_a_boundary_allows_it():
+    config = splitting.SplitConfig()
+    for text in (" ".join(["x" * 120 + " and so on."] * 30), " ".join(["y" * 150] * 40), ", ".join(["some words in a clause"] * 90), "A short one. " * 200):
+        got = splitting.split_paragraph(text, config)
+        shared = [b1 - a2 for (_, b1), (a2, _) in zip(got, got[1:])]
+        assert len(got) > 1 and all(0 < s <= 100 for s in shared), shared
+        # A word of 150 characters has no boundary within 100, so pieces begin within it.
+        assert min(shared) >= (85 if text[0] == "y" else 5 if text[0] == "x" else 75), shared
+    at, price = splitting.boundaries("One, two three. Four five")
+    assert list(zip(at.tolist(), price.tolist())) == [(5, 6.0), (9, 12.0), (16, 0.0), (21, 12.0)]
+
+
+def _brute_split(text, config):
+    """The least cost over all ways to cut, without any pruning."""
+    cut, price = splitting.boundaries(text)
+    begin, extra = splitting._begins(text, cut, price, config)
+    n = len(text)
+    least = max(2, -(-(n - config.overlap) // (config.max_chars - config.overlap)))
+    ideal = (n + (least - 1) * config.overlap) / least
+    best = {0: (0.0, 0)}
+    for at, start, cost in [*zip(cut.tolist(), begin.tolist(), (price + extra).tolist()), (n, n, 0.0)]:
+        found = [c + cost + 40.0 * ((at - s) / ideal - 1.0) ** 2 for c, s in best.values() if at - s <= config.max_chars]
+        if found:
+            best[at] = (min(found), start)
+    return best.get(n, (None,))[0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab .,", min_size=81, max_size=400))
+def test_pieces_cost_least(text):
+    config = splitting.SplitConfig(80, 20)
+    for p in splitting.paragraphs(text):
+        if len(p) > 80:
+            cut, price = splitting.boundaries(p)
+            begin, extra = splitting._begins(p, cut, price, config)
+            costs, n = dict(zip(cut.tolist(), (price + extra).tolist())) | {len(p): 0.0}, len(p)
+            least = max(2, -(-(n - 20) // 60))
+            ideal = (n + (least - 1) * 20) / least
+            got = sum(costs[b] + 40.0 * ((b - a) / ideal - 1.0) ** 2 for a, b in splitting.split_paragraph(p, config))
+            assert abs(got - _brute_split(p, config)) < 1e-6
+
+
 def test_split_documents_edge_cases(spark):
     rows = [("a", None, 1), ("b", " \n\n ", 2), (None, "x", 3), ("c", "one\r\n　\r\ntwo", 4), ("d", "y" * 30_000, 5), ("c", "one", 6)]
     df = spark.createDataFrame(rows, "document_id string, content string, position int")
