@@ -1,9 +1,11 @@
 """Garbled text from wrong character encodings: find it and restore what can be restored.
 
 Characters are mapped back to the bytes of a legacy encoding, an automaton over byte structure finds maximal
-well-formed multibyte spans, and only those spans are decoded, as often as that helps. Text that was garbled
-from one single-byte encoding into another has no such structure; there a word is taken as garbled if it
-cannot be a word of any of the languages while its bytes in another encoding can.
+well-formed multibyte spans, and only those spans are decoded, as often as that helps. A span may decode to letters
+of any living script; control characters may come out of it as long as a further round decodes them. Text that was
+garbled from one single-byte encoding into another has no such structure; there a text counts as garbled only by
+evidence of the whole text: words that no language writes so (signs between letters, scripts mixed in a word,
+capitals after small letters) and one pair of encodings that explains them.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import cache, lru_cache
 from typing import Any
 
@@ -43,7 +46,7 @@ _IGNORED = {"Mn", "Me", "Cf", "Zs", "Zl", "Zp", "So", "Sk", "Co"}
 #: in Cyrillic, an oe ligature in other than its usual places, a dash before a last single consonant, an
 #: apostrophe deep in a word; and a letter beyond ASCII where a sign of currency would stand.
 _MISPLACED = re.compile("[a-zß-öø-ÿ][À-ÖØ-ÞĄĆĘŁŃŚŹŻŒ]|[а-яё][А-ЯЁ]|[a-z]œ(?![ut])|[a-z][—–][b-df-hj-np-tvxz](?![a-z])|[a-z][a-pr-z]’(?!hui)[a-z]{4}|[a-z]q’[a-z]{4}")
-_BEFORE_NUMBER = re.compile("[À-ÖØ-öø-ÿ][0-9]+[^A-Za-z]*$")
+_BEFORE_NUMBER = re.compile("[À-ÖÙ-öù-ſ][0-9]+[^A-Za-z]*$")
 _SIGNS = frozenset("’‘“”–—…£€§°")
 
 
@@ -101,17 +104,50 @@ def _japanese(c: str) -> bool:
     return "　" <= c <= "ヿ" or "一" <= c <= "鿿" or "！" <= c <= "￮" or "㐀" <= c <= "䶿"
 
 
+#: Scripts in living use whose letters a span may decode to, and those of them with two bytes a letter in UTF-8.
+SCRIPTS = frozenset("LATIN CYRILLIC GREEK HEBREW ARABIC ARMENIAN GEORGIAN HANGUL THAI LAO KHMER MYANMAR DEVANAGARI BENGALI TAMIL TELUGU GUJARATI GURMUKHI KANNADA MALAYALAM SINHALA TIBETAN ETHIOPIC CJK HIRAGANA KATAKANA".split())
+TWO_BYTES = frozenset("CYRILLIC GREEK HEBREW ARABIC ARMENIAN".split())
+
+
+@cache
+def _script(c: str) -> str:
+    return unicodedata.name(c, "?").split(" ")[0].split("-")[0]
+
+
 @cache
-def _good(c: str) -> bool:
-    """Whether a character may come out of a repair."""
+def _common(c: str) -> bool:
+    """Characters that one span may decode to without any letter around it to confirm it."""
     o = ord(c)
-    if o < 0x80:
-        return True
-    if o < 0x100:
-        return o >= 0xA0
     if o < 0x180:
-        return c.lower() in "ąćęłńśźżœÿ" or c == "Ÿ"
-    return 0x300 <= o <= 0x36F or 0x400 <= o <= 0x45F or o in (0x490, 0x491) or 0x2000 <= o <= 0x2044 or 0x20A0 <= o <= 0x20BF or 0x2100 <= o <= 0x23FF or 0x2500 <= o <= 0x27BF or _japanese(c) or o in (0xFE0E, 0xFE0F, 0xFEFF, 0xFFFD) or 0x1F000 <= o <= 0x1FAFF
+        return o < 0x80 or 0xA0 <= o < 0x100 or c.lower() in "ąćęłńśźżœÿ"
+    return c == "ƒ" or 0x300 <= o <= 0x36F or 0x2000 <= o <= 0x2044 or 0x20A0 <= o <= 0x20BF or 0x2100 <= o <= 0x23FF or 0x2500 <= o <= 0x27BF or o in (0xFE0E, 0xFE0F, 0xFEFF, 0xFFFD) or 0x1F000 <= o <= 0x1FAFF
+
+
+def _plausible(got: str, before: str, after: str, codec: str, lenient: bool) -> bool:
+    """Whether text that a span decodes to may be what stood there, by the number and script of its letters.
+
+    Two letters of one script do; a single one does where no chance reading comes to it: from three bytes, beside
+    letters of the same word, or (``lenient``) beside other garbled words.
+    """
+    kinds = [unicodedata.category(c) for c in got]
+    if any(k in ("Cn", "Co", "Cs") for k in kinds) or any(k == "Cc" and not "\x80" <= c <= "\x9f" for k, c in zip(kinds, got)):
+        return False
+    rare = [c for c in got if not _common(c) and not "\x80" <= c <= "\x9f"]
+    if not rare:
+        return True
+    letters = [c for c, k in zip(got, kinds) if k[0] in "LM" and not _common(c)]
+    scripts = {"CJK" if _japanese(c) else _script(c) for c in letters}
+    if not letters or not scripts <= SCRIPTS or len(scripts) > 1 and not lenient:
+        return False
+    if "LATIN" in scripts:
+        if any(not (c < "\u0180" or c in "ƠơƯưȘșȚț" or "\u1e00" <= c <= "\u1eff") for c in letters if _script(c) == "LATIN"):
+            return False
+        return lenient or len(got) > 1 or got >= "\u1e00" or before.isascii() and before.isalpha() or "a" <= after <= "z"
+    if "CJK" in scripts:
+        return lenient or any(map(_kana, got)) or sum(map(_japanese, got)) >= 3
+    if scripts & TWO_BYTES:
+        return lenient or len(letters) >= 2
+    return True
 
 
 def _decode_spans(text: str, codec: str, lenient: bool) -> str:
@@ -123,24 +159,31 @@ def _decode_spans(text: str, codec: str, lenient: bool) -> str:
             got = raw.decode("utf-8") if raw is not None else None
         except UnicodeDecodeError:
             return m.group()
-        if got is None or not all(map(_good, got)):
-            return m.group()
-        cyrillic = sum("Ѐ" <= c <= "ӿ" for c in got)
-        japanese = sum(map(_japanese, got))
-        letters = sum(c.isalpha() for c in got)
-        if not lenient:
-            if cyrillic and cyrillic < 2 or japanese and not any(map(_kana, got)) and japanese < 3:
-                return m.group()
-            if codec in CYRILLIC and len(got) < 2 and not any(unicodedata.category(c) in ("So", "Sm", "Cc") for c in m.group()):
+        before, after = text[max(m.start() - 1, 0):m.start()], text[m.end():m.end() + 1]
+        if got is None or not _plausible(got, before, after, codec, lenient):
+            # Characters of many scripts beside each other are right if they are garbled text again.
+            deeper = _decode_spans(got, codec, lenient) if got else ""
+            return deeper if got and deeper != got and _plausible(deeper, before, after, codec, lenient) else m.group()
+        # Under Cyrillic encodings plain words can be well-formed by chance: signs among the letters tell, or
+        # Latin letters around what decodes to one.
+        if not lenient and codec in CYRILLIC and not any(unicodedata.category(c) in ("So", "Sm", "Cc") for c in m.group()):
+            within = all(_script(c) == "LATIN" for c in got) and any(map(_ASCII_LETTER.match, before + after))
+            if not within and (len(got) < (2 if any(not c.isalpha() for c in m.group()) else 3) or not all(c.isalpha() and _script(c) != "LATIN" for c in got)):
                 return m.group()
-        elif japanese and not cyrillic and not letters and japanese < 1:
-            return m.group()
         return got
 
     return _utf8_spans(codec).sub(repaired, text)
 
 
-def _decode_japanese(text: str, codec: str, right: str, lenient: bool) -> str:
+_ASCII_LETTER = re.compile("[A-Za-z]")
+#: The first bytes of the kanji in everyday use.
+_EVERYDAY = {"euc_jp": (0xB0, 0xCF), "shift_jis": (0x88, 0x97)}
+
+
+def _decode_japanese(text: str, codec: str, right: str, lenient: bool, everyday: bool = False) -> str:
+    """Decode the spans of a two-byte encoding that give Japanese: four characters with kana among them, with
+    ``lenient`` any, with ``everyday`` two kanji in everyday use."""
+
     def repaired(m: re.Match[str]) -> str:
         raw = _bytes(m.group(), codec)
         if raw is None:
@@ -151,7 +194,9 @@ def _decode_japanese(text: str, codec: str, right: str, lenient: bool) -> str:
             return m.group()
         full = [c for c in got if not c.isascii()]
         sound = all(_japanese(c) and not "｡" <= c <= "ﾟ" for c in full)
-        return got if sound and full and (lenient or len(full) >= 4 and any(map(_kana, full))) else m.group()
+        low, high = _EVERYDAY[right]
+        few = everyday and len(full) >= 2 and len(raw) == 2 * len(full) and all(low <= b <= high for b in raw[::2])
+        return got if sound and full and (lenient or few or len(full) >= 4 and any(map(_kana, full))) else m.group()
 
     return _japanese_spans(codec, right).sub(repaired, text)
 
@@ -194,7 +239,7 @@ def _decode_cp932(text: str) -> str:
         stop = ends.get(best, i)
         kana = sum(map(_kana, got))
         near = re.search("[縺繧繝][｡-ﾟ]", text[i:stop])
-        if kana and (kana > 1 or near) and _KANA_LEADS.search(text[i:stop]) and all(map(_good, got)):
+        if kana and (kana > 1 or near) and _KANA_LEADS.search(text[i:stop]) and _plausible(got, "", "", "cp932", True):
             out.append(got)
             i = stop
         else:
@@ -239,7 +284,7 @@ def odd(word: str) -> bool:
 def _shape(word: str) -> int:
     """0 for lower case, capitalised or upper case, else 1."""
     letters = "".join(c for c in word if c.isalpha())
-    return int(not (letters.islower() or letters.isupper() or letters[:1].isupper() and (letters[1:].islower() or len(letters) == 1)))
+    return int(bool(letters) and not (letters.islower() or letters.isupper() or letters[:1].isupper() and (letters[1:].islower() or len(letters) == 1)))
 
 
 PAIRS = tuple((group, right, wrong) for group, rights in RIGHT.items() for right in rights for wrong in WRONG if wrong != right)
@@ -293,52 +338,108 @@ def _left(text: str) -> int:
     return sum(not c.isascii() and not _japanese(c) for c in text)
 
 
+def _controls(text: str) -> int:
+    return sum("\x80" <= c <= "\x9f" and c != "\x85" for c in text)
+
+
+def _two_bytes(text: str, codecs: Iterable[str], lenient: bool, everyday: bool = False) -> tuple[str, list[str]] | None:
+    """The reading through a two-byte encoding that leaves least, if that is little."""
+    found = [(_left(new), new, f"{right} as {codec}") for codec in codecs for right in ("euc_jp", "shift_jis") if (new := _decode_japanese(text, codec, right, lenient, everyday)) != text]
+    if found and (best := min(found))[0] < 0.2 * _left(text):
+        return best[1], [best[2]]
+    return None
+
+
 def _multibyte(text: str, lenient: bool) -> tuple[str, list[str]]:
-    """All repairs through multibyte structure, repeated while they change anything."""
-    names: list[str] = []
-    if len(text) >= 8:  # text of two-byte encodings may hold well-formed UTF-8 by chance: the better reading wins
-        found = [(_left(new), new, f"{right} as {codec}") for codec in (WRONG if odd(text) else WRONG_OFTEN) for right in ("euc_jp", "shift_jis") if (new := _decode_japanese(text, codec, right, lenient)) != text]
-        if found and (best := min(found))[0] < 0.2 * _left(text):
-            return best[1], [best[2]]
-    for _ in range(4):
-        before = text
-        for codec in WRONG:
-            if (new := _decode_spans(text, codec, lenient)) != text:
-                text = new
-                names.append(f"utf-8 as {codec}")
-                break
-        if text == before and _KANA_LEADS.search(text):
+    """All repairs through multibyte structure, repeated while they change anything; each makes the text shorter.
+
+    A round may bring out control characters for the next to decode. If some stay, what counts is the last round
+    that left none, or the last one if there were as many before.
+    """
+    if len(text) >= 8 and (two := _two_bytes(text, WRONG if odd(text) else WRONG_OFTEN, lenient)):
+        return two  # it may hold well-formed UTF-8 by chance: the better reading wins
+    rounds: list[tuple[str, list[str]]] = [(text, [])]
+    while True:
+        before, names = rounds[-1]
+        # The encoding that explains most, the first of equals.
+        _, _, codec, now = min((len(new), i, codec, new) for i, codec in enumerate(WRONG) if (new := _decode_spans(before, codec, lenient)) is not None)
+        name = f"utf-8 as {codec}"
+        if now == before and _KANA_LEADS.search(before):
             try:
-                text = text.encode("cp932").decode("utf-8") if "・" not in text else _decode_cp932(text)
+                now = before.encode("cp932").decode("utf-8") if "・" not in before else _decode_cp932(before)
             except UnicodeError:
-                text = _decode_cp932(text)
-            if text != before:
-                names.append("utf-8 as shift_jis")
-        if text == before:
+                now = _decode_cp932(before)
+            name = "utf-8 as shift_jis"
+        if now == before or len(now) >= len(before):
             break
-    return text, names
+        rounds.append((now, [*names, name]))
+    # Few kanji without kana count if nothing else explains a word that no language writes.
+    if len(rounds) == 1 and len(text) >= 4 and odd(text) and not _ASCII_LETTER.search(text) and (two := _two_bytes(text, [c for c in WRONG if c not in CYRILLIC], lenient, True)):
+        return two
+    clear = [r for r in rounds if not _controls(r[0])]
+    return clear[-1] if clear else rounds[-1] if _controls(rounds[-1][0]) <= _controls(text) else rounds[0]
 
 
 _CONTROL = re.compile("[\x80-\x84\x86-\x9f]")
 _PLAIN = re.compile("[　-ヿ一-鿿！-｠A-Za-z0-9.,;:!?()\\-'\"/%]+")
 
 
+_DASHED = re.compile("[a-z]{3}[—–][b-df-hj-np-tvxz](?![a-z])")
+_MIXED = re.compile("[A-Za-zÀ-ÖØ-öø-ſ][Ͱ-ӿ]|[Ͱ-ӿ][A-Za-zÀ-ÖØ-öø-ſ]")
+
+
+@lru_cache(maxsize=200_000)
+def impossible(word: str) -> bool:
+    """Whether no language writes ``word``: a sign between two letters, two scripts side by side, a capital
+    beyond ASCII after a small letter, accented letters only, a letter where a number has its currency, a dash before
+    a last consonant, a control character. Letters that are merely foreign to a language are not impossible."""
+    core = unicodedata.normalize("NFC", word)
+    if _BEFORE_NUMBER.match(core) or _DASHED.search(core) or _MIXED.search(core) or _CONTROL.search(core):
+        return True
+    if any(before.islower() and c.isupper() and not c.isascii() for before, c in zip(core, core[1:])):
+        return True
+    letters = [c for c in core if c.isalpha()]
+    if len(letters) >= 4 and all("\x80" < c < "\u0180" for c in letters):
+        return True
+    for before, c, after in zip(core, core[1:], core[2:]):
+        kind = unicodedata.category(c)
+        if not c.isascii() and before.isalpha() and after.isalpha() and (kind == "Lm" and c not in _INNER or not c.isalpha() and c not in _INNER and kind not in _IGNORED - {"So", "Sk"}):
+            return True
+    return False
+
+
 @lru_cache(maxsize=200_000)
 def judge(word: str) -> tuple[str, str] | None:
-    """What is wrong with a word (of a text split at ASCII white space): its repair and the encodings, the
-    repair empty where the original is lost; None for a word that may stand as it is."""
+    """What is wrong with a word (of a text split at ASCII white space) by its own structure: its repair and the
+    encodings, the repair empty where the original is lost; None for a word that may stand as it is."""
     if word.isascii() or (_PLAIN.fullmatch(word) and not re.search("[縺繧繝]", word)):
         return None
     got, names = _multibyte(word, False)
     if names:
         return got, ", ".join(names)
-    if odd(word) and (single := _single_byte(word)):
-        return single
     if "�" in word or _CONTROL.search(word) or _KANA_LOST.search(word):
         return "", "lost"
     return None
 
 
+def _through_one_pair(words: list[str]) -> tuple[dict[str, tuple[str, str]], tuple[str, str, str] | None]:
+    """The repairs of a text's odd words through single-byte encodings, by the evidence of all of them, and the pair.
+
+    One pair of encodings must explain half of them, and some of those must be impossible as they stand: words
+    whose letters are merely foreign to the languages known here are no evidence, however many.
+    """
+    repairable = [w for w in words if _single_byte(w)]
+    pair = _best_pair(repairable) if repairable else None
+    if pair is None:
+        return {}, None
+    explained = [w for w in words if _through(w, pair)]
+    if len(explained) < 0.5 * len(words) or not any(map(impossible, explained)):
+        return {}, None
+    name = f"{pair[1]} as {pair[2]}"
+    out = {w: (_through(w, pair) or "", name) for w in explained}
+    return out | {w: _single_byte(w) for w in repairable if w not in out and impossible(w)}, pair  # type: ignore[return-value]
+
+
 def _words(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
 
@@ -354,17 +455,26 @@ def restore(text: str) -> tuple[bool, int, str, str | None] | None:
     shown = html.unescape(text) if "&" in text and _ENTITY.search(text) else text
     if shown.isascii():
         return None
-    bad = {w: v for w in set(_words(shown)) if not w.isascii() and (v := judge(w))}
+    words = {w for w in _words(shown) if not w.isascii()}
+    bad = {w: v for w in words if (v := judge(w))}
+    all_odd = sorted(w for w in words if odd(w))
+    through, pair = _through_one_pair(all_odd)
+    if pair and len(through) <= 2 * sum(bool(got) for got, _ in bad.values()):
+        through, pair = _through_one_pair([w for w in all_odd if w not in bad or not bad[w][0]])
+    elif pair:  # what else was found are chance readings
+        bad = {w: v for w, v in bad.items() if not v[0]}
+    bad |= through
     if not bad:
         return None
-    single = [w for w, (got, name) in bad.items() if got and not name.startswith(("utf-8", "euc_jp", "shift_jis"))]
-    pair = _best_pair(single) if single else None
-    for w in single:
-        if pair and (got := _through(w, pair)):
-            bad[w] = (got, f"{pair[1]} as {pair[2]}")
     names = sorted({n for _, v in bad.values() for n in v.split(", ")})
     two_byte = [n.split(" as ") for n in names if n.startswith(("euc_jp", "shift_jis"))]
     codecs = sorted({n.split(" as ")[1] for n in names if n.startswith("utf-8 as ")} & set(WRONG))
+    counted = Counter(n for w, (got, name) in bad.items() for n in name.split(", ") if got and n.startswith("utf-8 as "))
+    main = max(counted, key=lambda n: (counted[n], n)).split(" as ")[1] if counted else ""
+    if main in WRONG:  # a word that alone reads otherwise, too, is read like the others where that explains it better
+        for w, (got, name) in bad.items():
+            if got and main not in name and len(other := _decode_spans(w, main, True)) <= len(got):
+                bad[w] = (other, f"utf-8 as {main}")
     out, n = [], 0
     for line in re.split("(\n)", shown):
         parts = re.split("([ \r\t]+)", line)
@@ -382,6 +492,8 @@ def restore(text: str) -> tuple[bool, int, str, str | None] | None:
             out.append(p)
     done = "".join(out)
     lost = "�" in done or _CONTROL.search(done) is not None or _KANA_LOST.search(done) is not None
+    # What was garbled is whole again only if no word of it looks garbled still.
+    lost = lost or any(w in bad or judge(w) for w in set(_words(done)) if not w.isascii())
     return not lost, n, ", ".join(names), done if done != text else None
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from functools import cache
 from typing import Any
@@ -48,24 +49,19 @@ def plain_words(text: str) -> str:
 
 def word_spans(text: str) -> list[tuple[str, int, int]]:
     """The same words with their offsets in ``text``; slower, for texts with a leak only."""
-    keep = [True] * len(text)
-    apart = [False] * len(text)
+    shown, at = text, list(range(len(text)))
     if "<" in text:
-        for m in _INLINE_TAG.finditer(text):
-            keep[m.start():m.end()] = [False] * (m.end() - m.start())
-        shown = "".join(c if k else "\0" for c, k in zip(text, keep))
-        for m in _TAG.finditer(shown):
-            apart[m.start():m.end()] = [True] * (m.end() - m.start())
+        cuts = [m.span() for m in _INLINE_TAG.finditer(text)]
+        for a, b in reversed(cuts):
+            shown = shown[:a] + shown[b:]
+            del at[a:b]
+        for a, b in reversed([m.span() for m in _TAG.finditer(shown)]):
+            shown = shown[:a] + " " + shown[b:]
+            at[a:b] = [at[a]]
     out: list[tuple[str, int, int]] = []
     word, start, end = "", 0, 0
-    for i, c in enumerate(text):
-        if apart[i]:
-            folded = " "
-        elif not keep[i]:
-            continue
-        else:
-            folded = "".join(map(_counts, unicodedata.normalize("NFKD", c).casefold()))
-        for f in folded:
+    for i, c in zip(at, shown):
+        for f in "".join(map(_counts, unicodedata.normalize("NFKD", c).casefold())):
             if f != " ":
                 start, word, end = (i, f, i + 1) if not word else (start, word + f, i + 1)
             elif word:
@@ -139,18 +135,27 @@ class Scanner:
         if not found:
             return []
         spans = word_spans(text)
-        if len(spans) != len(words):  # letters that decompose only together; offsets are then those of the text
-            return [(item, n, 0, len(text), item in seen) for item, (n, _) in found.items()]
         return [(item, n, spans[a][1], spans[a + n - 1][2], item in seen) for item, (n, a) in found.items()]
 
 
-def find_leaks(texts: DataFrame, items: DataFrame, min_words: int = 13, items_per_pass: int = 50_000) -> DataFrame:
+#: The scanner that this worker built last, by the pass it serves: tasks of one pass share it.
+_HELD: dict[str, Scanner] = {}
+
+
+def _scanner(name: str, items: Any, min_words: int) -> Scanner:
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = Scanner(items.value, min_words)
+    return _HELD[name]
+
+
+def find_leaks(texts: DataFrame, items: DataFrame, min_words: int = 13, items_per_pass: int = 50_000, bytes_per_pass: int = 2**25) -> DataFrame:
     """Pairs (``item_id``, ``doc_id``) that share at least ``min_words`` words in a row, with the length of the
     longest shared run, its offsets in the original text and whether the item's answer occurs in the text.
 
     ``texts`` has doc_id and text, ``items`` item_id, item_text and answer; other columns are ignored. The
-    items of one pass are broadcast: at most ``items_per_pass`` of them, larger sets take several passes over
-    the text, by hash of the id. The text is scanned where it lies; nothing of it is shuffled, and only leaks
+    items of one pass are broadcast: about ``items_per_pass`` of them and ``bytes_per_pass`` of their text, larger
+    sets take several passes over the text, by hash of the id. The text is scanned where it lies; nothing of it is shuffled, and only leaks
     leave the scan. Null and blank texts and items share nothing. Repeated items and documents give a pair
     once for each copy of the document; items with the same id and different texts count as one by their
     longest run. Runs do not reach across documents.
@@ -158,16 +163,17 @@ def find_leaks(texts: DataFrame, items: DataFrame, min_words: int = 13, items_pe
     spark = texts.sparkSession
     ship(spark)
     wanted = items.select(F.col("item_id").cast("long"), "item_text", "answer").filter("item_id IS NOT NULL AND item_text IS NOT NULL").distinct()
-    passes = max(1, -(-wanted.count() // items_per_pass))
+    size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("item_text") + F.coalesce(F.octet_length("answer"), F.lit(0))), F.lit(0))).collect()[0]
+    passes = max(1, -(-size[0] // items_per_pass), -(-size[1] // bytes_per_pass))
     out: DataFrame | None = None
     for n in range(passes):
         part = wanted if passes == 1 else wanted.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == n)
         shared = spark.sparkContext.broadcast([(r[0], r[1], r[2]) for r in part.collect()])
 
-        def scan(batches: Iterator[Any], shared: Any = shared) -> Iterator[Any]:
+        def scan(batches: Iterator[Any], shared: Any = shared, name: str = uuid.uuid4().hex) -> Iterator[Any]:
             import pyarrow as pa
 
-            scanner = Scanner(shared.value, min_words)
+            scanner = _scanner(name, shared, min_words)
             for batch in batches:
                 rows: list[tuple[Any, ...]] = []
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):

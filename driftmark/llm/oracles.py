@@ -20,4 +20,6 @@ ORACLES: dict[str, str] = {
     "p6_neighbours": f"WITH {_NEAREST.format(asked='WHERE a.id % 100 = 0')} SELECT n.id, CAST(n.rank AS INTEGER) AS rank, n.other AS neighbour_id, round(n.cosine, 3) AS cosine, c.content FROM n LEFT JOIN (SELECT id, min(content) AS content FROM chunks GROUP BY id) c ON c.id = n.other",
     "p4_found": f"WITH {_PARAGRAPHS} SELECT document_id, paragraph_no FROM q WHERE length(t) > 1000",
     "p4_rejoined": f"WITH {_PARAGRAPHS} SELECT document_id, paragraph_no, length(t) AS n_chars, length(t) > 1000 AS cut, true AS within_limit, true AS overlaps_kept, sha256(t) AS whole FROM q",
+    "p7_kept": "SELECT true AS tokens_kept, true AS documents_kept, true AS attention_kept, count(*) AS texts, true AS texts_whole, true AS well_filled FROM documents",
+    "p7_attention": "SELECT true AS tokens_kept, true AS documents_kept, true AS attention_kept, count(*) AS texts, true AS texts_whole FROM documents",
 }

@@ -23,7 +23,8 @@ PACKED = "sequence_id long, slot int, doc_id long, piece_no int, token_start lon
 class PackConfig:
     """Capacities of a sequence, and how much each counts when a sequence is chosen.
 
-    ``attention`` bounds the sum of squared piece lengths; its default admits one piece of full length.
+    ``attention`` bounds the sum of squared piece lengths; by default it admits one piece of full length and so
+    binds only where ``tokens`` does. With less a piece that exceeds it by itself gets a sequence of its own.
     ``rule`` is ``norm`` (least weighted residual after placing) or ``dot`` (greatest weighted product of
     the piece's needs and the sequence's residual).
     """
@@ -37,8 +38,8 @@ class PackConfig:
     group_rows: int = 20_000
 
     def __post_init__(self) -> None:
-        if min(self.tokens, self.documents, self.group_rows) < 1 or self.attention < self.tokens**2:
-            raise ValueError("capacities must admit one piece of full length")
+        if min(self.tokens, self.documents, self.group_rows, self.attention) < 1:
+            raise ValueError("capacities must be positive")
         if self.rule not in ("norm", "dot"):
             raise ValueError("rule must be norm or dot")
 
@@ -55,7 +56,7 @@ def _encoding(vocabulary: str) -> Any:
 def count_tokens(texts: DataFrame, vocabulary: str) -> DataFrame:
     """(``doc_id``, ``n_tokens``, ``salt``) of every text; a null text has 0 tokens.
 
-    The whole text is encoded where it lies. ``salt`` tells rows with equal ids apart.
+    The whole text is encoded where it lies. ``salt`` numbers the rows, so that it tells equal ids apart.
     """
 
     ship(texts.sparkSession)
@@ -63,13 +64,12 @@ def count_tokens(texts: DataFrame, vocabulary: str) -> DataFrame:
     def count(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
 
-        encoding, n = _encoding(vocabulary), 0
+        encoding = _encoding(vocabulary)
         for b in batches:
             sizes = [len(encoding.encode_to_numpy(t.as_py(), disallowed_special=())) if t.is_valid else 0 for t in b.column(1)]
-            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int64()), pa.array(range(n, n + len(sizes)), pa.int64())], names=["doc_id", "n_tokens", "salt"])
-            n += len(sizes)
+            yield pa.record_batch([b.column(0), pa.array(sizes, pa.int64()), b.column(2)], names=["doc_id", "n_tokens", "salt"])
 
-    return texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "doc_id long, n_tokens long, salt long")
+    return texts.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id()).mapInArrow(count, "doc_id long, n_tokens long, salt long")
 
 
 def best_fit(sizes: np.ndarray, config: PackConfig) -> np.ndarray:
@@ -105,11 +105,11 @@ def best_fit(sizes: np.ndarray, config: PackConfig) -> np.ndarray:
             left[j], names[j] = cap, n_all - 1
         left[j] -= need
         out[i] = names[j]
-        if left[j, 0] < least or left[j, 1] < 1:
+        if left[j, 0] < least or left[j, 1] < 1 or left[j, 2] < least * least:
             left[j], names[j] = left[n_open - 1], names[n_open - 1]
             n_open -= 1
         if at % 4096 == 4095:
-            keep = (left[:n_open, 0] >= least) & (left[:n_open, 1] >= 1)
+            keep = (left[:n_open, 0] >= least) & (left[:n_open, 1] >= 1) & (left[:n_open, 2] >= least * least)
             k = int(keep.sum())
             left[:k], names[:k], n_open = left[:n_open][keep], names[:n_open][keep], k
     return out

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftmark.functions.ids import canonical_uuid
 from driftmark.llm import encodings, leaks, packing, splitting, vectors
+from driftmark.session import materialize
 from driftmark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,10 +65,32 @@ def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
-def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many sequences there are and how full they are."""
-    per = p7_packed(spark, sf_dir).groupBy("sequence_id").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("pieces"))
-    return per.agg(F.count(F.lit(1)).alias("sequences"), F.sum("n").alias("tokens"), F.max("n").alias("fullest"), F.max("pieces").alias("most_pieces"), F.round(F.sum("n") / (F.count(F.lit(1)) * 2048), 4).alias("fill"))
+def _kept(documents: DataFrame, packed: DataFrame, config: packing.PackConfig) -> DataFrame:
+    """One row: what a packing promises, checked against the texts encoded anew."""
+    n = F.col("n_tokens").cast("long")
+    per = packed.groupBy("sequence_id").agg(F.sum(n).alias("tokens"), F.count(F.lit(1)).alias("pieces"), F.sum(n * n).alias("attention"))
+    of_sequences = per.agg((F.max("tokens") <= config.tokens).alias("tokens_kept"), (F.max("pieces") <= config.documents).alias("documents_kept"), (F.max(F.when(F.col("pieces") > 1, F.col("attention"))) <= config.attention).alias("attention_kept"))
+    by_text = packed.groupBy("doc_id").agg(F.sum(n).alias("packed"), F.count(F.lit(1)).alias("pieces"), F.max(F.col("token_start") + n).alias("end"))
+    sizes = packing.count_tokens(documents, vocabulary()).groupBy("doc_id").agg(F.sum("n_tokens").alias("tokens"))
+    both = sizes.join(by_text, "doc_id", "full_outer")
+    whole = F.col("tokens").eqNullSafe(F.col("packed")) & F.col("end").eqNullSafe(F.col("tokens")) & (F.col("pieces") == F.greatest(F.ceil(F.col("tokens") / config.tokens), F.lit(1)))
+    of_texts = both.agg(F.count(F.lit(1)).alias("texts"), F.bool_and(F.coalesce(whole, F.lit(False))).alias("texts_whole"))
+    return of_sequences.crossJoin(of_texts)  # one row each
+
+
+def p7_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every text is in the packing, cut only where it is longer than a sequence, every capacity is kept,
+    and little room is left over."""
+    documents, packed = table(spark, sf_dir, "documents"), materialize(p7_packed(spark, sf_dir), "packed")
+    fill = packed.agg((F.sum("n_tokens") >= 0.97 * 2048 * F.count_distinct("sequence_id")).alias("well_filled"))
+    return _kept(documents, packed, packing.PackConfig()).crossJoin(fill)
+
+
+def p7_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with half of a full sequence's attention cost as capacity, which binds: long texts are joined by
+    many short ones or stay alone."""
+    config, documents = packing.PackConfig(attention=2048 * 2048 // 2), table(spark, sf_dir, "documents")
+    return _kept(documents, materialize(packing.pack(documents, vocabulary(), config), "packed"), config)
 
 
 def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,4 +113,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_report(spark, sf_dir).select("doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p4_rejoined, p6_found, p6_neighbours, p7_packed, p7_fill, p8_found, p8_report, p9_found, p9_report)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p4_rejoined, p6_found, p6_neighbours, p7_packed, p7_kept, p7_attention, p8_found, p8_report, p9_found, p9_report)}

@@ -154,6 +154,15 @@ def test_leaks_against_brute_force(spark):
     assert leaks.find_leaks(df.limit(0), it).count() == 0 == leaks.find_leaks(df, it.limit(0)).count()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("aB1 <>/!-=\n\u00ad\u0301\u0345ßİﬁΣς한ก\u0e33ि’"), st.characters(codec="utf-8")), max_size=60))
+def test_spans_are_those_of_the_words(text):
+    for t in (text, f"<b{text}i>x</b><di<b>v>{text}"):
+        spans = leaks.word_spans(t)
+        assert [w for w, _, _ in spans] == leaks.plain_words(t).split()
+        assert all(0 <= a < b <= len(t) for _, a, b in spans) and all(a[1] <= b[1] for a, b in zip(spans, spans[1:]))
+
+
 def test_words():
     same = ["Über Öl, n° 5", "ÜBER öl n°5", "ü­ber <p>öl</p> n° 5", "​über\n* öl\n> n° 5"]
     assert {leaks.plain_words(t) for t in same} == {" uber ol n 5 "} and leaks.plain_words("<br/> …") == " "
@@ -257,9 +266,24 @@ def test_packing(spark):
     assert packing.pack(spark.createDataFrame([(9, "<|endoftext|>")], "doc_id long, text string"), VOCABULARY).head()["n_tokens"] > 1
 
 
+def test_a_binding_attention_capacity():
+    config = packing.PackConfig(100, 6, 5000)
+    rng = np.random.default_rng(4)
+    sizes = np.concatenate([rng.integers(0, 60, 200), [80, 100, 71, 70]])
+    bins = packing.best_fit(sizes, config)
+    spent = [(sizes[bins == b] ** 2).sum() for b in range(bins.max() + 1)]
+    alone = [b for b in range(bins.max() + 1) if spent[b] > 5000]
+    # A piece that is over the capacity by itself has a sequence of its own; all others keep it.
+    assert sorted(sizes[bins == b].tolist() for b in alone) == [[71], [80], [100]]
+    free = packing.best_fit(sizes, packing.PackConfig(100, 6, 100 * 100))
+    assert any((sizes[free == b] ** 2).sum() > 5000 and (free == b).sum() > 1 for b in range(free.max() + 1))
+    with pytest.raises(ValueError):
+        packing.PackConfig(attention=0)
+
+
 def test_packing_wastes_little(spark, sf_dir):
-    fill = queries.p7_fill(spark, sf_dir).head()
-    assert fill["fullest"] <= 2048 and fill["fill"] > 0.95
+    per = queries.p7_packed(spark, sf_dir).groupBy("sequence_id").agg(F.sum("n_tokens").alias("n")).collect()
+    assert max(r["n"] for r in per) <= 2048 and sum(r["n"] for r in per) > 0.95 * 2048 * len(per)
 
 
 # Encodings
@@ -283,6 +307,52 @@ def test_clean_text_is_left_alone(lang):
         assert encodings.restore(text) is None
 
 
+OTHERS = {
+    "cs": "Příliš žluťoučký kůň úpěl ďábelské ódy, naším cílem je škola v Brně. Škoda Auto.", "tr": "İstanbul’da Güneş doğdu; Ankara’daki çalışmalar sürüyor, ağaçlar yeşil, ışık güçlü.",
+    "vi": "Nguyễn Văn Ân học tiếng Việt ở Hà Nội, và được thưởng.", "hu": "Árvíztűrő tükörfúrógép, őszinte űrhajós írók.", "ro": "Ștefan și Țepeș au mâncat în grădină; să vină și ăștia, Ăștia.",
+    "el": "Το πρωί στην Αθήνα ήταν ήσυχο, είπε ο Γιώργος.", "he": "שלום עולם, זה טקסט בעברית.", "ar": "مرحبا بالعالم هذا نص عربي.", "ko": "한국어 문장은 여기 있습니다.", "th": "ภาษาไทยเป็นภาษาที่สวยงาม",
+    "hi": "यह हिन्दी का वाक्य है।", "is": "Það er gott að búa á Íslandi, sagði Þórður; ÁÐUR var það.", "hr": "Čovjek je došao kući, žena čita knjigu, đak uči.", "lv": "Šī ir latviešu valoda, ļoti skaista, ģimene.",
+    "sl": "Življenje je lepo, čas teče.", "uk": "Україна є великою, її мова — гарна, ґанок.", "fi": "Äiti söi pöydällä; „Ä“ ja Å–Ö.", "da": "Ø20 mm rør, ærø, på åen; Æblegrød.", "zh": "這是一個中文句子。",
+    "fr": "cœlacanthe, œcuménique, phœnix ; presqu’île, entr’ouvrir «Était» À « la » É—B CAFÉ—bar", "ru": "В газете «НОВЫЙ ОСТРОВ» сказано: ДА… Я…",
+}
+
+
+def _shown(text, right, wrong):
+    back = {b: c for c, b in encodings._to_byte(wrong).items()}
+    return "".join(chr(b) if b < 0x80 else back.get(b, chr(b)) for b in text.encode(right))
+
+
+@pytest.mark.parametrize("lang", OTHERS)
+def test_clean_text_of_other_languages_is_left_alone(lang):
+    assert encodings.restore(OTHERS[lang]) is None and encodings.restore(f"Plain words first. {OTHERS[lang]}") is None
+
+
+@pytest.mark.parametrize("lang", OTHERS)
+@pytest.mark.parametrize("wrong", ["cp1252", "mac_roman"])
+def test_utf8_of_other_languages_is_restored(lang, wrong):
+    text = OTHERS[lang]
+    assert encodings.restore(_shown(text, "utf-8", wrong))[::3] == (True, text)
+
+
+def test_utf8_read_as_latin1_many_times():
+    latin1 = lambda t: "".join(map(chr, t.encode()))
+    garbled = "Grüße aus Köln"
+    for _ in range(6):
+        garbled = latin1(garbled)
+        assert encodings.restore(garbled)[::3] == (True, "Grüße aus Köln")
+
+
+@pytest.mark.parametrize("right", ["euc_jp", "cp932"])
+def test_short_words_of_two_byte_encodings(right):
+    for word in ("東京", "日本語"):
+        assert encodings.restore(_shown(word, right, "cp1252"))[3] == word
+
+
+def test_what_stays_garbled_is_not_called_recoverable():
+    assert encodings.restore("cafÃ© and lost � here")[0] is False
+    assert encodings.restore("Une pièce cœlacanthe à côté") is None
+
+
 @pytest.mark.parametrize("lang", [x for x in CLEAN if x != "en"])
 @pytest.mark.parametrize("wrong", ["cp1252", "mac_roman", "cp1251", "cp437", "cp850"])
 @pytest.mark.parametrize("times", [1, 2])
