@@ -14,11 +14,12 @@ from pyspark.sql import types as T
 
 from driftmark.operators import mutations, reconciling, searching, verifying
 from driftmark.operators.chunking import ChunkingConfig
-from driftmark.operators.embedding import RetryPolicy, TransientEmbeddingError, create_provider
-from driftmark.operators.indexing import IndexPlan
+from driftmark.operators.embedding import HttpEmbeddings, RetryPolicy, TransientEmbeddingError, create_provider
+from driftmark.operators.indexing import IndexPlan, stale
 from driftmark.session import as_uri, materialize
 from driftmark.settings import Settings
 from driftmark.sources.files import Folder
+from driftmark.sources.sinks import EventSink, FileSink
 from driftmark.sources.store import ConcurrentModificationError, SnapshotStore
 
 ATTEMPTS = 3
@@ -42,10 +43,15 @@ class ReconcileReport:
     skipped: bool = False
 
 
+def _provider(settings: Settings) -> Any:
+    remote = HttpEmbeddings(settings.embedding_url, settings.embedding_model, settings.embedding_key_variable, settings.embedding_timeout_seconds)
+    return create_provider(settings.embedding_provider, settings.embedding_dimension, settings.embedding_failure_rate, remote)
+
+
 class Engine:
     def __init__(self, spark: SparkSession, root: str, settings: Settings | None = None, provider: Any = None) -> None:
         self.spark, self.settings = spark, settings or Settings()
-        self.provider = provider or create_provider(self.settings.embedding_provider, self.settings.embedding_dimension, self.settings.embedding_failure_rate)
+        self.provider = provider or _provider(self.settings)
         self.store = SnapshotStore(spark, as_uri(root), self.provider.dimension, self.settings.buckets)
         self.chunking = ChunkingConfig(self.settings.min_chars, self.settings.max_chars)
         self.policy = RetryPolicy(self.settings.max_retries, self.settings.retry_base_delay_seconds)
@@ -55,12 +61,12 @@ class Engine:
         """The commit time as a constant, the same in every task and retry."""
         return F.lit(datetime.now(timezone.utc))
 
-    def table(self, name: str, documents: Sequence[str] | None = None) -> DataFrame:
-        """A table, of some documents only if named: then only their buckets are read."""
+    def table(self, name: str, documents: Sequence[str] | None = None, columns: list[str] | None = None) -> DataFrame:
+        """A table, of some documents only if named: then only what may hold them is read."""
         if documents is None:
-            return self.store.read(name)
+            return self.store.read(name, columns=columns)
         ids = self.spark.createDataFrame([(d,) for d in documents], "document_id string")
-        return self.store.read(name, buckets=self.store.touched(ids)).filter(F.col("document_id").isin(list(documents)))
+        return self.store.read(name, only=self.store.select(ids), columns=columns)
 
     # Writes
 
@@ -70,18 +76,18 @@ class Engine:
         Returns the effective changes with the version each led to.
         """
         changes = materialize(changes, "changes")
-        touched = self.store.touched(changes.filter("document_id IS NOT NULL"))
+        named = self.store.select(changes)
         for _ in range(ATTEMPTS):
             base, now = self.store.manifest(), self.now()
-            documents = self.store.read("documents", base, touched)
+            documents = self.store.read("documents", base, named)
             folded = materialize(mutations.fold(documents, changes), "folded")
             added = folded.count()
             if not added:
                 return folded
-            new = mutations.next_documents(documents, folded, now)
+            new = mutations.next_documents(documents, folded, now).join(folded.select("document_id").distinct(), "document_id", "left_semi")
             events = mutations.events(folded.select("document_id", "version", (F.col("op") == mutations.REMOVE).alias("deleted")), base["sequence"], now)
-            outbox = self.store.read("outbox", base, touched).unionByName(events)
-            if self.store.commit(base, {"documents": (new, touched), "outbox": (outbox, touched)}, sequence=base["sequence"] + added):
+            if self.store.commit(base, {"documents": (new, None), "outbox": (events, None)}, sequence=base["sequence"] + added):
+                self.store.compact()
                 return folded
         raise ConcurrentModificationError("documents kept changing")
 
@@ -117,117 +123,138 @@ class Engine:
 
     def status(self, document_id: str) -> dict[str, Any]:
         """Deleted documents have a status, too."""
-        of = lambda t: self.table(t, [document_id])
-        rows = searching.index_status(of("documents"), of("outbox"), of("index_state"), of("chunks").drop("embedding")).collect()
+        of = lambda t, *c: self.table(t, [document_id], list(c) or None)
+        chunks = of("chunks", "document_id", "content_hash", "position", "content", "document_version")
+        rows = searching.index_status(of("documents"), of("outbox"), of("index_state"), chunks).collect()
         if not rows:
             raise NotFound(document_id)
         return rows[0].asDict(recursive=True)
 
     # Publishing
 
-    def publish(self, path: str, limit: int | None = None) -> int:
-        """Write unpublished events, oldest first, to a folder of files and mark them published."""
-        from driftmark.functions.text import event_json, event_key
-
-        limit = limit or self.settings.relay_batch
+    def publish(self, sink: EventSink | str, limit: int | None = None) -> int:
+        """Send unpublished events, oldest first, and mark as published those that the sink acknowledged. A sink
+        given as a path is a folder of files. ``limit`` is ``relay_batch`` unless given, 0 lifts it. Returns how many
+        were marked."""
+        sink, limit = FileSink(as_uri(sink)) if isinstance(sink, str) else sink, self.settings.relay_batch if limit is None else limit
         for _ in range(ATTEMPTS):
             base, now = self.store.manifest(), self.now()
-            batch = materialize(self.store.read("outbox", base).filter("published_at IS NULL").orderBy("id").limit(limit), "batch")
-            n = batch.count()
-            if not n:
-                return 0
-            value = event_json(*[F.col(c) for c in ("event_id", "document_id", "event_type", "document_version", "created_at")])
-            batch.orderBy("id").select(event_key(F.col("document_id")).alias("key"), value.alias("value")).coalesce(1).write.mode("append").parquet(path)
-            touched = self.store.touched(batch)
-            done = batch.select("id", F.lit(True).alias("done"))
-            outbox = self.store.read("outbox", base, touched).join(done, "id", "left").withColumn("published_at", F.when(F.col("done"), now).otherwise(F.col("published_at"))).drop("done")
+            waiting = self.store.read("outbox", base).filter("published_at IS NULL")
+            batch = materialize(waiting.orderBy("id").limit(limit) if limit else waiting, "batch")
+            sent = materialize(sink.send(batch).select("id").distinct(), "sent")
+            done = batch.join(sent, "id", "left_semi").withColumn("published_at", now)
+            n = done.count()
             # Lost the race: the events stay unpublished and go out again, which readers bear.
-            if self.store.commit(base, {"outbox": (outbox, touched)}):
+            if not n or self.store.commit(base, {"outbox": (done, None)}):
+                self.store.compact()
                 return n
         raise ConcurrentModificationError("the outbox kept changing")
 
-    def drain(self, path: str) -> int:
-        """Publish until nothing waits."""
+    def drain(self, sink: EventSink | str) -> int:
+        """Publish until nothing waits, or nothing more is acknowledged."""
         total = 0
-        while n := self.publish(path):
+        while n := self.publish(sink):
             total += n
         return total
 
     def backlog(self) -> int:
-        return self.store.read("outbox").filter("published_at IS NULL").count()
+        return self.store.read("outbox", columns=["id", "published_at"]).filter("published_at IS NULL").count()
 
     # Indexing
 
-    def process(self, documents: DataFrame, batch: str | None = None) -> IndexPlan | None:
+    def process(self, documents: DataFrame, worker: str | None = None, batch: int = 0) -> IndexPlan | None:
         """Index the current version of the documents named by ``document_id``.
 
-        Planned outside any lock against one snapshot; if another commit comes first it is planned anew. A
-        ``batch`` that was committed before is skipped, which makes replays harmless. Its failures are kept
-        beside the store and named by the commit, see ``failures``.
+        Planned outside any lock against one snapshot; if another commit comes first it is planned anew. Of each
+        ``worker`` the number of its last committed batch is kept, and a batch up to that is skipped, which makes
+        replays harmless. Its failures are kept beside the store and named by the commit, see ``failures``.
         """
+        named = self.store.select(documents)
         ids = materialize(documents.select("document_id").dropna().distinct(), "ids")
-        touched = self.store.touched(ids)
         for _ in range(ATTEMPTS):
             base, now = self.store.manifest(), self.now()
-            if batch is not None and batch in base["batches"]:
+            if worker is not None and batch <= base["batches"].get(worker, {"batch": -1})["batch"]:
                 return None
-            read = lambda t: self.store.read(t, base, touched)
+            read = lambda t: self.store.read(t, base, named)
             current = read("documents").join(ids, "document_id", "left_semi")
-            chunks, state = read("chunks"), read("index_state")
-            plan = IndexPlan(current, state, chunks, self.provider, now, self.chunking, self.policy)
-            batches = [*base["batches"], batch][-1000:] if batch is not None else base["batches"]
+            plan = IndexPlan(current, read("index_state"), read("chunks"), self.provider, now, self.chunking, self.policy)
             plan.results = materialize(plan.results, "results")
-            kept = base.get("failures", {})
-            if batch is not None:
+            batches = base["batches"]
+            if worker is not None:
                 path = f"{self.store.root}/failures/{uuid.uuid4().hex}"
                 plan.failures.write.parquet(path)
-                kept = {b: kept[b] for b in batches if b in kept} | {batch: path}
-            if self.store.commit(base, {"chunks": (plan.chunks, touched), "index_state": (plan.state, touched)}, batches=batches, failures=kept):
+                batches = batches | {worker: {"batch": batch, "failures": path}}
+            if self.store.commit(base, {"chunks": (plan.upserts, plan.removed), "index_state": (plan.state, None)}, batches=batches):
+                self.store.compact()
                 return plan
         raise ConcurrentModificationError("the index kept changing")
 
-    def failures(self, batch: str) -> DataFrame | None:
-        """What failed in a committed batch (``document_id``, ``attempts``, ``error_type``, ``error_message``)."""
-        path = self.store.manifest().get("failures", {}).get(batch)
-        return self.spark.read.parquet(path) if path else None
+    def failures(self, worker: str, batch: int) -> DataFrame | None:
+        """What failed in a worker's last committed batch (``document_id``, ``attempts``, ``error_type``,
+        ``error_message``); None for any other batch."""
+        held = self.store.manifest()["batches"].get(worker)
+        return self.spark.read.parquet(held["failures"]) if held and held["batch"] == batch else None
 
     # Repair and checks
 
+    def _lock(self, name: str) -> bool:
+        """Take a lock for ``lock_seconds``; one that expired with its owner is taken over."""
+        at = datetime.now(timezone.utc).timestamp()
+        held = [n for n in self.locks.names() if n.startswith(f"{name}-")]
+        number = int(held[-1].removesuffix(".json").rsplit("-", 1)[1]) + 1 if held else 0
+        if held and self.locks.load(held[-1])["until"] > at:
+            return False
+        if not self.locks.create(f"{name}-{number:09d}.json", {"until": at + self.settings.lock_seconds}):
+            return False
+        for old in held:
+            self.locks.remove(old)
+        self._held = f"{name}-{number:09d}.json"
+        return True
+
     def reconcile(self) -> ReconcileReport:
         """Queue stale documents again and remove orphan chunks; one pass at a time."""
-        if not self.locks.create("reconcile", {"at": str(datetime.now(timezone.utc))}):
+        if not self._lock("reconcile"):
             return ReconcileReport(skipped=True)
         try:
             base, now = self.store.manifest(), self.now()
-            documents, state, outbox = (self.store.read(t, base) for t in ("documents", "index_state", "outbox"))
-            from driftmark.operators.indexing import stale
-
+            documents = self.store.read("documents", base, columns=["document_id", "version", "deleted", "updated_at"])
+            state, outbox = self.store.read("index_state", base), self.store.read("outbox", base)
             n_stale = stale(documents, state).count()
             found = materialize(reconciling.find_stale(documents, state, outbox, now, self.settings.reconcile_grace_seconds, self.settings.reconcile_batch), "stale")
             queued = found.count()
             if queued:
-                touched = self.store.touched(found)
                 events = mutations.events(found, base["sequence"], now, cause=f"repair-{base['version']}")
-                rows = self.store.read("outbox", base, touched).unionByName(events)
-                if not self.store.commit(base, {"outbox": (rows, touched)}, sequence=base["sequence"] + queued):
+                if not self.store.commit(base, {"outbox": (events, None)}, sequence=base["sequence"] + queued):
                     queued = 0  # the next pass finds them
         finally:
-            self.locks.remove("reconcile")
+            self.locks.remove(self._held)
         n_found = n_removed = 0
         for _ in range(ATTEMPTS):
             base = self.store.manifest()
-            documents, chunks = self.store.read("documents", base), self.store.read("chunks", base)
-            orphans = materialize(reconciling.orphan_chunks(chunks, documents), "orphans")
-            n_found = orphans.agg(F.coalesce(F.sum("n_chunks"), F.lit(0))).collect()[0][0]
+            chunks = self.store.read("chunks", base, columns=["document_id", "content_hash"])
+            live = self.store.read("documents", base, columns=["document_id", "deleted"])
+            lost = materialize(chunks.join(reconciling.orphan_chunks(chunks, live), "document_id", "left_semi"), "orphans")
+            n_found = lost.count()
             if not n_found:
                 break
-            touched = self.store.touched(orphans)
-            kept = reconciling.survivors(self.store.read("chunks", base, touched), documents)
-            if self.store.commit(base, {"chunks": (kept, touched)}):
+            if self.store.commit(base, {"chunks": (None, lost)}):
                 n_removed = n_found
                 break
+        self.store.compact()
         return ReconcileReport(n_stale, queued, n_found, n_removed)
 
+    def snapshot(self) -> DataFrame:
+        """The index as rows that say all of it: chunks without their vectors and the state without its times. Two
+        snapshots are equal (``differences`` is empty) if nothing happened in between."""
+        chunks = self.store.read("chunks", columns=["document_id", "content_hash", "position", "content", "document_version"])
+        state = self.store.read("index_state").select("document_id", F.lit(None).cast("string").alias("content_hash"), F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("content"), F.col("indexed_version").alias("document_version"), "deleted")
+        return chunks.withColumn("deleted", F.lit(None).cast("boolean")).unionByName(state)
+
+    @staticmethod
+    def differences(a: DataFrame, b: DataFrame) -> DataFrame:
+        """Rows of one snapshot that the other lacks, repeated ones counted."""
+        return a.exceptAll(b).unionByName(b.exceptAll(a))
+
     def verify(self, embeddings: bool = False) -> DataFrame:
         base = self.store.manifest()
         return verifying.violations(*(self.store.read(t, base) for t in ("documents", "index_state", "chunks")), provider=self.provider if embeddings else None, config=self.chunking)

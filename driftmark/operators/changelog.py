@@ -142,7 +142,7 @@ class ChangeStore:
         def merge(batches: Iterator[Any]) -> Iterator[Any]:
             for batch in batches:
                 for bucket in batch.column(0).to_pylist():
-                    yield from _merge_bucket(root, names, bucket, arrow)
+                    yield from merge_files(root, names, bucket, arrow)
 
         return self.spark.range(0, self.buckets, 1, self.buckets).mapInArrow(merge, schema)
 
@@ -180,7 +180,9 @@ class ChangeStore:
         self._commit(swap)
 
 
-def _merge_bucket(root: str, runs: list[str], bucket: int, schema: Any, rows: int = 65536) -> Iterator[Any]:
+def merge_files(root: str, runs: list[str], bucket: int, schema: Any, groups: Any = None, rows: int = 65536) -> Iterator[Any]:
+    """The last row of each key in the sorted files of a bucket in some runs, batch by batch; ``groups`` says which
+    row groups of a file to read."""
     import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.fs as pafs
@@ -191,7 +193,9 @@ def _merge_bucket(root: str, runs: list[str], bucket: int, schema: Any, rows: in
     for run in runs:
         found = fs.get_file_info(pafs.FileSelector(f"{base}/{run}/bucket={bucket}", allow_not_found=True))
         for f in sorted(x.path for x in found if x.base_name.endswith(".parquet")):
-            sources.append(iter(pq.ParquetFile(fs.open_input_file(f)).iter_batches(batch_size=rows, columns=schema.names)))
+            file = pq.ParquetFile(fs.open_input_file(f))
+            batches = file.iter_batches(batch_size=rows, columns=schema.names, **({"row_groups": groups(file)} if groups is not None else {}))
+            sources.append(b.select(schema.names).cast(schema) for b in batches)
     heads: dict[int, Any] = {}
     for i, s in enumerate(sources):
         if (b := next(s, None)) is not None:

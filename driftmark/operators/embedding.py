@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import http.client
+import json
 import math
+import os
 import random
 import re
 import time
+import urllib.error
+import urllib.request
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -131,11 +136,45 @@ class RemoteProvider:
         return out
 
 
-def create_provider(name: str, dimension: int, failure_rate: float = 0.0) -> EmbeddingProvider:
+@dataclass(frozen=True)
+class HttpEmbeddings:
+    """Asks a service that takes ``{"model", "input"}`` as JSON and answers ``{"data": [{"index", "embedding"}]}``.
+
+    The key is read from an environment variable where the request is made, so it is in no plan. Time-outs, lost
+    connections, too many requests and errors of the server may work when tried again, other answers will not.
+    """
+
+    url: str
+    model: str
+    key_variable: str = "EMBEDDING_API_KEY"
+    timeout: float = 30.0
+
+    def __call__(self, texts: list[str]) -> list[tuple[int, list[float]]]:
+        headers = {"Content-Type": "application/json"}
+        if key := os.environ.get(self.key_variable, ""):
+            headers["Authorization"] = f"Bearer {key}"
+        request = urllib.request.Request(self.url, json.dumps({"model": self.model, "input": texts}).encode(), headers)
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+                return [(int(d["index"]), [float(x) for x in d["embedding"]]) for d in json.load(answer)["data"]]
+        except urllib.error.HTTPError as e:
+            kind = TransientEmbeddingError if e.code in (408, 409, 429) or e.code >= 500 else PermanentEmbeddingError
+            raise kind(f"status {e.code}") from e
+        except (OSError, http.client.HTTPException) as e:
+            raise TransientEmbeddingError(str(e)) from e
+        except (ValueError, KeyError, TypeError) as e:
+            raise PermanentEmbeddingError(f"unexpected answer: {e}") from e
+
+
+def create_provider(name: str, dimension: int, failure_rate: float = 0.0, remote: HttpEmbeddings | None = None) -> EmbeddingProvider:
     """A provider by name; a failure rate above 0 wraps it."""
-    if name != "hashed":
+    provider: Any
+    if name == "hashed":
+        provider = HashedWords(dimension)
+    elif name == "remote" and remote is not None:
+        provider = RemoteProvider(remote, dimension)
+    else:
         raise ValueError(f"unknown provider {name!r}")
-    provider: Any = HashedWords(dimension)
     return FailingProvider(provider, failure_rate) if failure_rate > 0 else provider
 
 

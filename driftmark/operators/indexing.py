@@ -22,7 +22,10 @@ def stale(documents: DataFrame, state: DataFrame) -> DataFrame:
 
 
 class IndexPlan:
-    """The next chunks and index state for some documents, planned from one snapshot.
+    """What changes in chunks and index state for some documents, planned from one snapshot.
+
+    ``upserts`` and ``removed`` are the chunks to put and to take out, ``state`` the state rows to put; what stays as
+    it is is in neither. Contents and vectors are read for moved chunks only.
 
     Events are hints: what counts is the current document. Chunks that are kept keep their text, vector and
     ``document_version``, the version at which they were embedded; only their position may change. New
@@ -45,12 +48,13 @@ class IndexPlan:
         versions = done.select("document_id", F.col("version").alias("document_version"))
         applied = self.diff.join(versions, "document_id")
         inserted = applied.filter(F.col("action") == diffing.EMBED).join(new, ["document_id", "content_hash"]).select("document_id", "content_hash", "position", "content", "embedding", "document_version")
-        moves = applied.filter(F.col("action") != diffing.EMBED).select("document_id", "content_hash", "action", F.col("position").alias("new_position"))
-        kept = chunks.join(gone.select("document_id"), "document_id", "left_anti").join(moves, ["document_id", "content_hash"], "left").filter(F.coalesce("action", F.lit("")) != diffing.DELETE)
-        kept = kept.select("document_id", "content_hash", F.coalesce("new_position", "position").alias("position"), "content", "embedding", "document_version")
-        self.chunks = kept.unionByName(inserted)
-        fresh = done.unionByName(gone).select("document_id", F.col("version").alias("indexed_version"), as_of.alias("indexed_at"), "deleted")
-        self.state = state.join(fresh.select("document_id"), "document_id", "left_anti").unionByName(fresh)
+        moves = applied.filter(F.col("action") == diffing.MOVE).select("document_id", "content_hash", F.col("position").alias("new_position"))
+        moved = chunks.join(moves, ["document_id", "content_hash"]).select("document_id", "content_hash", F.col("new_position").alias("position"), "content", "embedding", "document_version")
+        self.upserts = inserted.unionByName(moved)
+        of_gone = chunks.select("document_id", "content_hash").join(gone.select("document_id"), "document_id", "left_semi")
+        self.removed = applied.filter(F.col("action") == diffing.DELETE).select("document_id", "content_hash").unionByName(of_gone)
+        self.state = done.unionByName(gone).select("document_id", F.col("version").alias("indexed_version"), as_of.alias("indexed_at"), "deleted")
+        fresh = self.state
         counts = diffing.summarize(self.diff)
         removed = diffing.touched(chunks.select("document_id"), gone).groupBy("document_id").agg(F.count(F.lit(1)).alias("removed"))
         of = documents.select("document_id", "version", "deleted", "updated_at").join(fresh.select("document_id", F.lit(True).alias("applied")), "document_id", "left").join(failed.withColumn("failed", F.lit(True)), "document_id", "left")
@@ -61,3 +65,8 @@ class IndexPlan:
             "document_id", outcome.alias("outcome"), F.when(F.col("applied"), F.col("version")).alias("version"), zero(F.col("to_embed")).alias("chunks_embedded"), zero(F.col("to_reuse")).alias("chunks_reused"),
             zero(F.coalesce("to_delete", "removed")).alias("chunks_deleted"), lag.alias("lag_seconds"),
         )
+
+    def next_chunks(self, chunks: DataFrame) -> DataFrame:
+        """All of ``chunks`` as they are afterwards."""
+        keys = ["document_id", "content_hash"]
+        return chunks.join(self.removed.unionByName(self.upserts.select(*keys)), keys, "left_anti").unionByName(self.upserts.select(*chunks.columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,17 @@ def join(parts: Column) -> Column:
 def drawn(key: Column, i: Column, below: str) -> Column:
     """A fixed draw per (key, position): whether the first two hex digits of a digest are below a bound."""
     return F.substring(F.md5(F.concat_ws(":", key, i.cast("string"))), 1, 2) < below
+
+
+def synthetic_documents(spark: SparkSession, n: int, seed: int) -> DataFrame:
+    """``n`` documents (``number``, ``document_id``, ``title``, ``content``) of 4 to 12 paragraphs, the same for the
+    same seed. Made by expressions alone, so as many as one likes are made where they are needed."""
+    key = lambda *parts: F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), *parts))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string")))
+    document = F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.concat(F.lit("4"), F.substring(digest, 14, 3)), F.concat(F.lit("8"), F.substring(digest, 18, 3)), F.substring(digest, 21, 12))
+    many = (F.conv(F.substring(key(), 1, 4), 16, 10).cast("int") % 9 + 4).cast("int")
+
+    def paragraph(p: Column) -> Column:
+        return F.concat(F.lit("Section "), (p + 1).cast("string"), F.lit(" of record "), F.col("id").cast("string"), F.lit(" covers case "), key(p.cast("string")), F.lit(". It names who decides and what has to be filed, and it holds until the next review."))
+
+    return spark.range(n).select(F.col("id").alias("number"), document.alias("document_id"), F.concat(F.lit("Record "), F.col("id").cast("string")).alias("title"), F.array_join(F.transform(F.sequence(F.lit(0), many - 1), paragraph), "\n\n").alias("content"))

@@ -15,8 +15,10 @@ def _latest(rows: DataFrame, key: str, columns: list[str], rank: list[Column]) -
     return rows.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*rank)).alias("r")).select(key, "r.*")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, only: str | None = None) -> DataFrame:
+    """All documents, or the one with an id; other rows are then left out as they are read."""
     rows = table(spark, sf_dir, "source_documents").withColumn("document_id", canonical_uuid(F.col("id")))
+    rows = rows if only is None else rows.filter(F.col("document_id") == only)
     return _latest(rows, "document_id", ["title", "content", "version", "deleted", "updated_at"], [F.col("version"), F.col("updated_at")])
 
 
@@ -37,6 +39,13 @@ def chunks(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 
 
 
+def uuid_sql(c: str) -> str:
+    """The canonical spelling of a UUID in DuckDB's SQL."""
+    from driftmark.plans.data_queries import _uuid_sql
+
+    return _uuid_sql(c)
+
+
 def sql_prefix() -> str:
     """The same in DuckDB's SQL, as common table expressions d, o, s and c."""
     from driftmark.plans.data_queries import _uuid_sql

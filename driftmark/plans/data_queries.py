@@ -129,8 +129,8 @@ def p2_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries that are copies of an earlier delivery of the same message; they are numbered as they arrive."""
-    rows = table(spark, sf_dir, "deliveries").select("delivery_id", "received_at", *MESSAGE)
-    return dedupe.redundant_copies(rows, MESSAGE, ["delivery_id", "received_at"]).select("delivery_id")
+    rows = table(spark, sf_dir, "deliveries").select("delivery_id", *MESSAGE)
+    return dedupe.redundant_copies(rows, MESSAGE, ["delivery_id"]).select("delivery_id")
 
 
 def p3_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:

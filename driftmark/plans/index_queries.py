@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -9,11 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftmark.functions import text
-from driftmark.functions.vectors import close, cosine_similarity, literal
-from driftmark.operators import diffing, indexing, metrics, mutations, reconciling, searching, verifying
+from driftmark.functions.vectors import close, cosine_distance, cosine_similarity, literal, norm
+from driftmark.engine import Engine
+from driftmark.operators import diffing, indexing, metrics, mutations, reconciling, searching, verifying, workload
 from driftmark.operators.chunking import chunk_documents
 from driftmark.operators.embedding import HashedWords, RetryPolicy, embed_texts
 from driftmark.plans import clean
+from driftmark.session import materialize, new_folder
+from driftmark.settings import Settings
 from driftmark.sources.tables import table
 from driftmark.streaming import worker
 
@@ -68,10 +72,22 @@ def docs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _live(spark, sf_dir).select("document_id", "title", "version", "updated_at")
 
 
-@query("SELECT document_id, version, deleted FROM d WHERE document_id = (SELECT min(document_id) FROM d)")
+def _least(spark: SparkSession, sf_dir: str, live: bool) -> str:
+    """The id to look up: the least one. One value is read to the driver."""
+    docs = clean.documents(spark, sf_dir).filter(~F.col("deleted")) if live else clean.documents(spark, sf_dir).filter("deleted")
+    return str(docs.agg(F.min("document_id")).collect()[0][0])
+
+
+@query("SELECT document_id, version, title FROM d WHERE NOT deleted AND document_id = (SELECT min(document_id) FROM d WHERE NOT deleted)")
 def docs_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = clean.documents(spark, sf_dir).select("document_id", "version", "deleted")
-    return docs.join(docs.agg(F.min("document_id").alias("document_id")), "document_id")
+    """One live document by its id, a literal that is applied before anything is aggregated."""
+    return clean.documents(spark, sf_dir, _least(spark, sf_dir, True)).filter(~F.col("deleted")).select("document_id", "version", "title")
+
+
+@query("SELECT document_id, version, deleted FROM d WHERE document_id = (SELECT min(document_id) FROM d WHERE deleted)")
+def docs_point_lookup_tombstone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document by its id, deleted or not."""
+    return clean.documents(spark, sf_dir, _least(spark, sf_dir, False)).select("document_id", "version", "deleted")
 
 
 @query("SELECT document_id, updated_at, version FROM d ORDER BY updated_at, document_id LIMIT 20")
@@ -231,12 +247,28 @@ def event_decode_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("id", F.col("e.error").alias("error"))
 
 
-@query()
+_ERRORS = """b AS (SELECT id, id % 11 AS n, event_type AS t, document_id AS di, event_id AS ei FROM o),
+w AS (SELECT id, di, CASE WHEN n IN (1, 4, 5) THEN 'malformed payload' WHEN n = 3 AND t = 'upserted' OR t IS NULL OR t NOT IN ('upserted', 'deleted') THEN 'unknown event type' WHEN n = 2 THEN 'time without offset' WHEN di IS NULL OR ei IS NULL THEN 'malformed id' END AS error FROM b)"""
+
+
+@query(f"""{_ERRORS} SELECT CAST(id AS VARCHAR) AS source_offset, coalesce(di, '') AS message_key, error AS error_message, 'ValueError' AS error_type, '1' AS attempts, 'document-changes' AS source_topic, '0' AS source_partition,
+  '2026-01-01T00:00:00.000000+00:00' AS failed_at, 'ValueError: ' || error AS traceback, id % 11 = 5 AS without_value, true AS details_agree FROM w WHERE error IS NOT NULL""")
 def dead_letter_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What becomes of the broken payloads."""
+    """What becomes of the broken payloads: key and value as they were, the rest in headers."""
     rows = clean.outbox(spark, sf_dir).select("id", text.event_key(F.col("document_id")).alias("key"), _payload().alias("value"), F.lit("document-changes").alias("source_topic"), F.lit(0).alias("source_partition"), F.col("id").alias("source_offset"))
     bad = rows.withColumn("e", text.decode_event(F.col("value"))).filter("e.error IS NOT NULL")
-    return worker.dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), _now())
+    letters = worker.dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), _now())
+    names = ("source_offset", "error_message", "error_type", "attempts", "source_topic", "source_partition", "failed_at", "traceback")
+    details = F.from_json(F.col("headers")["dlq.details"], "error_type string, error_message string, source_offset string")
+    agree = (details["error_type"] == F.col("headers")["dlq.error_type"]) & (details["error_message"] == F.col("headers")["dlq.error_message"]) & (details["source_offset"] == F.col("headers")["dlq.source_offset"])
+    return letters.select(F.coalesce(F.col("key").cast("string"), F.lit("")).alias("message_key"), F.col("value").isNull().alias("without_value"), agree.alias("details_agree"), *[F.col("headers")[f"dlq.{n}"].alias(n) for n in names])
+
+
+@query(f"{_ERRORS} SELECT error AS error_message, count(*) AS letters FROM w WHERE error IS NOT NULL GROUP BY 1")
+def dead_letter_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many dead letters there are of each kind."""
+    decoded = clean.outbox(spark, sf_dir).select(text.decode_event(_payload()).alias("e")).filter("e.error IS NOT NULL")
+    return decoded.groupBy(F.col("e.error").alias("error_message")).agg(F.count(F.lit(1)).alias("letters"))
 
 
 @query("""r AS (SELECT o.document_id, row_number() OVER (PARTITION BY o.document_id ORDER BY o.id) AS n FROM o WHERE document_id IS NOT NULL),
@@ -268,8 +300,10 @@ _HISTOGRAM = f"b AS (SELECT CAST(col0 AS DOUBLE) AS le FROM (VALUES {_BOUNDS}) U
 @query(f"""{_LAGS} SELECT count(*) AS documents, quantile_disc(lag, 0.5) AS p50, quantile_disc(lag, 0.95) AS p95, quantile_disc(lag, 0.99) AS p99, max(lag) AS longest,
 round(count(*) / ((epoch_us(max(indexed_at)) - epoch_us(min(updated_at))) / 1e6), 9) AS per_second FROM l""")
 def freshness_lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds = metrics.lag_seconds(F.max("indexed_at"), F.min("updated_at"))
-    return _lags(spark, sf_dir).agg(F.count(F.lit(1)).alias("documents"), *[metrics.nearest_rank("lag", p).alias(f"p{int(p * 100)}") for p in metrics.PERCENTILES], F.max("lag").alias("longest"), F.round(metrics.throughput(F.count(F.lit(1)), seconds), 9).alias("per_second"))
+    lags, seconds = _lags(spark, sf_dir), metrics.lag_seconds(F.max("indexed_at"), F.min("updated_at"))
+    ranks = metrics.nearest_ranks(lags, "lag", metrics.PERCENTILES).select(*[F.col(f"p{i}").alias(f"p{int(p * 100)}") for i, p in enumerate(metrics.PERCENTILES)])
+    whole = lags.agg(F.count(F.lit(1)).alias("documents"), F.max("lag").alias("longest"), F.round(metrics.throughput(F.count(F.lit(1)), seconds), 9).alias("per_second"))
+    return whole.crossJoin(ranks)  # one row each
 
 
 @query(f"{_LAGS}, {_HISTOGRAM} SELECT le, n FROM h")
@@ -368,19 +402,44 @@ _TOKENS = "tk AS (SELECT doc_id, unnest(regexp_extract_all(lower({n}), '([\\p{{L
 _STOPS = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
 
 
-@query(f"{_TOKENS} SELECT token, count(*) AS n, CAST(('0x' || sha256(token)[1:16])::UBIGINT % 384 AS INTEGER) AS bucket FROM tk WHERE token NOT IN ({_STOPS}) AND regexp_full_match(token, '[a-z0-9_]+') GROUP BY 1")
+@query(f"{_TOKENS} SELECT token, count(*) AS n, CAST(('0x' || sha256(token)[1:16])::UBIGINT % 384 AS INTEGER) AS bucket FROM tk WHERE token NOT IN ({_STOPS}) GROUP BY 1")
 def token_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each plain token occurs and where the hashed embedding puts it."""
-    tokens = table(spark, sf_dir, "documents").select(F.explode(text.tokens(text.normalize(F.col("text")))).alias("token")).filter(F.col("token").rlike("^[a-z0-9_]+$"))
+    """How often each token occurs and where the hashed embedding puts it."""
+    tokens = table(spark, sf_dir, "documents").select(F.explode(text.tokens(text.normalize(F.col("text")))).alias("token"))
     counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     bucket = F.conv(F.substring(F.sha2("token", 256), 1, 16), 16, 10).cast("decimal(20,0)") % 384
     return counted.select("token", "n", bucket.cast("int").alias("bucket"))
 
 
-@query()
+_EMBED = f"""{_TOKENS}, tf AS (SELECT doc_id, token, count(*) AS n FROM tk WHERE token NOT IN ({_STOPS}) GROUP BY ALL),
+sl AS (SELECT doc_id, CAST(('0x' || sha256(token)[1:16])::UBIGINT % 64 AS INTEGER) AS slot, CASE WHEN CAST('0x' || sha256(token)[17:18] AS INTEGER) % 2 = 1 THEN 1.0 ELSE -1.0 END * (1 + ln(n)) AS x FROM tf),
+vs AS (SELECT doc_id, slot, sum(x) AS x FROM sl GROUP BY ALL), ve AS (SELECT doc_id, slot, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS x FROM vs)"""
+
+
+@query(f"{_EMBED} SELECT doc_id, slot, round(x, 3) AS x FROM ve WHERE abs(x) > 0.3123")
 def embed_hashed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hashed embedding of every text; texts without words get the vector that the text seeds."""
-    return embed_texts(table(spark, sf_dir, "documents"), HashedWords(64), "text", "doc_id")
+    """The large numbers of the hashed embedding of every text that has words, with their places."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    worded = rows.filter(F.size(text.tokens(text.normalize(F.col("text")))) > 0)
+    vectors = embed_texts(worded, HashedWords(64), "text", "doc_id").select("doc_id", F.posexplode("embedding").alias("slot", "x"))
+    return vectors.filter(F.abs("x") > 0.3123).select("doc_id", "slot", F.round(F.col("x").cast("double"), 3).alias("x"))
+
+
+@query(f"SELECT doc_id, true AS unit_length, true AS same_again FROM documents WHERE len(list_filter(regexp_extract_all(lower({clean.normal_sql('coalesce(text, chr(32))')}), '([\\p{{L}}\\p{{N}}_]+)', 1), lambda w: w NOT IN ({_STOPS}))) = 0")
+def embed_without_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without words get a vector that the text seeds: of unit length, the same whenever it is made."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit(" ")).alias("text"))
+    bare = rows.filter(F.size(text.tokens(text.normalize(F.col("text")))) == 0)
+    once = embed_texts(bare, HashedWords(64), "text", "doc_id", "text").withColumnRenamed("embedding", "first")
+    twice = embed_texts(once, HashedWords(64), "text", "doc_id", "first")
+    return twice.select("doc_id", (F.abs(cosine_similarity(F.col("first"), F.col("first")) - 1) + F.abs(norm(F.col("first")) - 1) < 1e-5).alias("unit_length"), (F.col("first") == F.col("embedding")).alias("same_again"))
+
+
+@query("SELECT 1.0 AS itself, 0.0 AS opposite_less_two, 1.0 AS orthogonal")
+def vector_distance_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of constant vectors, as a check that vectors work at all."""
+    a, b, c = literal([3.0, 4.0]), literal([-3.0, -4.0]), literal([-4.0, 3.0])
+    return spark.range(1).select((1 - cosine_distance(a, a)).alias("itself"), (cosine_distance(a, b) - 2).alias("opposite_less_two"), cosine_distance(a, c).alias("orthogonal"))
 
 
 @query("SELECT vec_id, embedding IS NOT NULL AS held, CAST(len(embedding) AS INTEGER) AS width, true AS same FROM embeddings")
@@ -391,11 +450,11 @@ def vector_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", F.col("embedding").isNotNull().alias("held"), F.size("embedding").alias("width"), close(F.col("embedding"), back).alias("same"))
 
 
-@query()
+@query("SELECT coalesce(len(embedding), -1)::INTEGER AS width, count(*) AS n FROM c GROUP BY 1")
 def embedding_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored vectors that the hashed provider would not have made, counted by width."""
+    """Stored vectors that the hashed provider would not have made (none of those given was), counted by width."""
     fresh = embed_texts(clean.chunks(spark, sf_dir, "embedding").withColumnRenamed("embedding", "stored"), HashedWords(64), "content", "id", "stored")
-    return fresh.filter(~F.coalesce(close(F.col("stored"), F.col("embedding")), F.lit(False))).groupBy(F.size("stored").alias("width")).agg(F.count(F.lit(1)).alias("n"))
+    return fresh.filter(~F.coalesce(close(F.col("stored"), F.col("embedding")), F.lit(False))).groupBy(F.coalesce(F.size("stored"), F.lit(-1)).alias("width")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # Checks and state changes
@@ -462,14 +521,26 @@ def indexer_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plan(spark: SparkSession, sf_dir: str) -> indexing.IndexPlan:
-    stored = clean.chunks(spark, sf_dir, "embedding").groupBy("document_id", "content_hash").agg(F.min_by(F.struct("position", "content", "embedding", "document_version"), F.struct("position", "id")).alias("r")).select("document_id", "content_hash", "r.*")
-    return indexing.IndexPlan(clean.documents(spark, sf_dir), clean.index_state(spark, sf_dir), stored, HashedWords(64), _now(), policy=RetryPolicy(0))
+    return indexing.IndexPlan(clean.documents(spark, sf_dir), clean.index_state(spark, sf_dir), _stored(spark, sf_dir), HashedWords(64), _now(), policy=RetryPolicy(0))
+
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.chunks(spark, sf_dir, "embedding").groupBy("document_id", "content_hash").agg(F.min_by(F.struct("position", "content", "embedding", "document_version"), F.struct("position", "id")).alias("r")).select("document_id", "content_hash", "r.*")
 
-@query()
+
+@query(f"""{_APPLY}, kept AS (SELECT * EXCLUDE (rn) FROM (SELECT c.*, row_number() OVER (PARTITION BY document_id, content_hash ORDER BY position NULLS FIRST, id) AS rn FROM c) WHERE rn = 1)
+SELECT kept.document_id, kept.content_hash, coalesce(x.position, kept.position) AS position, kept.document_version, sha256(kept.content) AS text_hash, true AS vector_kept, false AS embedded FROM kept
+  LEFT JOIN x ON x.document_id = kept.document_id AND x.content_hash = kept.content_hash WHERE coalesce(x.action, '') <> 'delete' AND kept.document_id NOT IN (SELECT document_id FROM due WHERE deleted)
+UNION ALL SELECT k.document_id, k.content_hash, k.position, due.version, sha256(k.content), false, true FROM k JOIN x ON x.document_id = k.document_id AND x.content_hash = k.content_hash AND x.action = 'embed' JOIN due ON due.document_id = k.document_id""")
 def indexer_next_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chunks after that, per document and version of embedding."""
-    return _plan(spark, sf_dir).chunks.groupBy("document_id", "document_version").agg(F.count(F.lit(1)).alias("n"), F.max("position").alias("last_position"))
+    """All chunks after bringing the index up to date: kept ones with their vectors and versions, moved ones at
+    their new place, new ones embedded."""
+    stored = materialize(_stored(spark, sf_dir), "stored")
+    after = _plan(spark, sf_dir).next_chunks(stored)
+    before = stored.select("document_id", "content_hash", F.col("embedding").alias("old"), F.lit(True).alias("was"))
+    both = after.join(before, ["document_id", "content_hash"], "left")
+    fresh = F.coalesce(F.size("embedding") == 64, F.lit(False)) & F.col("was").isNull()
+    return both.select("document_id", "content_hash", "position", "document_version", F.sha2("content", 256).alias("text_hash"), (F.col("was").isNotNull() & F.col("old").eqNullSafe(F.col("embedding"))).alias("vector_kept"), fresh.alias("embedded"))
 
 
 @query(f"""{_DESIRED} SELECT d.document_id, CASE WHEN d.deleted THEN 'deleted' ELSE 'indexed' END AS outcome, d.version, count(k.document_id) AS chunks_embedded FROM d LEFT JOIN k ON k.document_id = d.document_id GROUP BY ALL""")
@@ -491,22 +562,33 @@ def reconcile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].crossJoin(parts[1]).crossJoin(parts[2])  # one row each
 
 
-@query()
+@query("""m AS (SELECT event_type, coalesce(""" + clean.uuid_sql("event_id") + """, '') AS e, coalesce(""" + clean.uuid_sql("document_id") + """, '') AS d, document_version AS v FROM deliveries WHERE event_type IS NOT NULL AND document_version IS NOT NULL)
+SELECT v % 7 AS version_class, count(*) AS messages FROM (SELECT DISTINCT e, d, v FROM m WHERE e <> '' AND d <> '') GROUP BY 1""")
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The deliveries as a stream of files with a stateful deduplication by message, counted by type."""
-    schema = "delivery_id long, topic_partition int, topic_offset long, batch_id long, event_id string, document_id string, event_type string, document_version int, created_at timestamp, received_at timestamp"
+    """The deliveries as a stream of files into a table that holds each message once, counted by version.
+
+    Each batch appends what it holds to a change store keyed by message, so the stream keeps no state that grows:
+    repeated messages meet in the store's sorted runs, however far apart they were received.
+    """
     import glob
 
     from driftmark.functions.ids import canonical_uuid
-    from driftmark.session import new_folder
+    from driftmark.operators.changelog import UPSERT, ChangeSpec, ChangeStore
 
+    schema = "delivery_id long, topic_partition int, topic_offset long, batch_id long, event_id string, document_id string, event_type string, document_version int, created_at timestamp, received_at timestamp"
     root = f"{sf_dir}/deliveries.parquet"
     source = f"{root}/*.parquet" if glob.glob(f"{root}/*.parquet") else f"{sf_dir}/deliveries*.parquet"
-    stream = spark.readStream.schema(schema).parquet(source)
-    once = stream.select(canonical_uuid(F.col("event_id")).alias("event_id"), canonical_uuid(F.col("document_id")).alias("document_id"), "document_version", "event_type").dropna().dropDuplicates(["event_id", "document_id", "document_version"])
-    out, checkpoint = new_folder(spark, "stream-out"), new_folder(spark, "stream-checkpoint")
-    once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("messages"))
+    messages = spark.readStream.schema(schema).parquet(source).select(canonical_uuid(F.col("event_id")).alias("event_id"), canonical_uuid(F.col("document_id")).alias("document_id"), "document_version", "event_type").dropna()
+    store = ChangeStore(spark, new_folder(spark, "stream-out"))
+    spec = ChangeSpec(F.concat_ws("|", "event_id", "document_id", "document_version"), F.lit(0), F.lit(UPSERT))
+
+    def append(batch: DataFrame, _: int) -> None:
+        store.append(batch, spec)
+        store.compact()
+
+    messages.writeStream.foreachBatch(append).option("checkpointLocation", new_folder(spark, "stream-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    version = F.element_at(F.split("dm_key", r"\|"), 3).cast("int")
+    return store.current().groupBy((version % 7).alias("version_class")).agg(F.count(F.lit(1)).alias("messages"))
 
 
 # Edits, latencies, replays
@@ -520,8 +602,6 @@ t AS (SELECT e.document_id, count(*) AS total, count(*) FILTER (b.document_id IS
 SELECT count(*) FILTER (embedded > 0) AS documents_edited, CAST(sum(total) FILTER (embedded > 0) AS BIGINT) AS chunks_in_edited, CAST(sum(embedded) AS BIGINT) AS chunks_embedded, round(1 - sum(embedded) / sum(total) FILTER (embedded > 0), 6) AS avoided FROM t""")
 def reembed_after_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the paragraphs is rewritten: what of the edited documents has to be embedded again."""
-    from driftmark.operators import workload
-
     parts = _live(spark, sf_dir).filter("content IS NOT NULL").select("document_id", text.paragraphs(F.col("content")).alias("ps"))
     edited = workload.rewrite(F.col("ps"), lambda i: workload.drawn(F.col("document_id"), i, "1a"), lambda p: F.concat(p, F.lit(" It was revised.")))
     before = chunk_documents(parts.select("document_id", workload.join(F.col("ps")).alias("content")))
@@ -536,8 +616,6 @@ def reembed_after_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT document_id, array_to_string(CASE WHEN len(ps) > 1 THEN list_concat([ps[2], ps[1]], ps[3:]) ELSE ps END, '|') AS swapped, array_to_string(list_prepend('New.', ps), '|') AS inserted, array_to_string(ps[2:], '|') AS removed FROM pa""")
 def paragraph_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its first two paragraphs exchanged, one put in front, and the first removed."""
-    from driftmark.operators import workload
-
     parts = clean.documents(spark, sf_dir).filter("content IS NOT NULL").select("document_id", text.paragraphs(F.col("content")).alias("ps"))
     show = lambda c: F.array_join(c, "|")
     return parts.select("document_id", show(workload.swap(F.col("ps"), 0, 1)).alias("swapped"), show(workload.insert(F.col("ps"), F.lit(0), F.lit("New."))).alias("inserted"), show(workload.remove(F.col("ps"), F.lit(0))).alias("removed"))
@@ -583,21 +661,113 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.agg(F.count("document_id").alias("documents"), F.sum("n").alias("events"), F.coalesce(F.sum(F.when(F.col("document_id").isNull(), F.col("n"))), F.lit(0)).alias("without_document"), F.max("n").alias("most"))
 
 
-@query()
-def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The smallest whole run: documents and events streamed through the worker into a new store, then checked."""
-    from driftmark.engine import Engine
-    from driftmark.session import new_folder
-    from driftmark.settings import Settings
+def _running(spark: SparkSession, sf_dir: str) -> tuple[Engine, DataFrame]:
+    """An engine that holds the documents and nothing else, and the events to index them by."""
+    engine = Engine(spark, new_folder(spark, "store"), Settings(embedding_dimension=64, buckets=8, max_retries=0))
+    engine.store.commit(engine.store.manifest(), {"documents": (clean.documents(spark, sf_dir), None)})
+    return engine, clean.outbox(spark, sf_dir)
 
-    engine = Engine(spark, new_folder(spark, "store"), Settings(embedding_dimension=64, buckets=8))
-    base, folder = engine.store.manifest(), new_folder(spark, "events")
-    docs = clean.documents(spark, sf_dir)
-    every = list(range(engine.store.buckets))
-    engine.store.commit(base, {"documents": (docs, every), "outbox": (clean.outbox(spark, sf_dir).filter("document_id IS NOT NULL"), every)})
-    events = clean.outbox(spark, sf_dir)
+
+def _apply_events(engine: Engine, events: DataFrame, order: list[Column], files: int = 1) -> worker.Worker:
+    """Stream events in some order through a worker that starts anew."""
+    spark, folder = engine.spark, new_folder(engine.spark, "events")
     value = text.event_json(*[F.col(c) for c in ("event_id", "document_id", "event_type", "document_version", "created_at")])
-    events.select(text.event_key(F.col("document_id")).alias("key"), value.alias("value")).write.parquet(folder)
-    w = worker.Worker(engine, worker.read_events(spark, folder), new_folder(spark, "checkpoint"), new_folder(spark, "dead"))
+    events.select("id", text.event_key(F.col("document_id")).alias("key"), value.alias("value")).orderBy(*order).select("key", "value").coalesce(files).write.parquet(folder)
+    w = worker.Worker(engine, worker.read_events(spark, folder), new_folder(spark, "checkpoint"), new_folder(spark, "dead"), metrics=new_folder(spark, "metrics"))
     w.drain()
-    return engine.verify().groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return w
+
+
+_INDEXED = f"""ev AS (SELECT DISTINCT document_id FROM o WHERE document_id IS NOT NULL AND event_id IS NOT NULL AND event_type IN ('upserted', 'deleted') AND document_version IS NOT NULL AND created_at IS NOT NULL),
+di AS (SELECT d.* FROM d SEMI JOIN ev ON ev.document_id = d.document_id WHERE version IS NOT NULL), live AS (SELECT document_id, content FROM di WHERE NOT deleted), {clean.chunker_sql('live')}"""
+
+
+@query(f"""{_INDEXED} SELECT di.document_id, di.version AS indexed_version, di.deleted, count(k.document_id) AS n_chunks, coalesce(sha256(string_agg(k.content_hash, '' ORDER BY k.position)), sha256('')) AS chunks FROM di LEFT JOIN k ON k.document_id = di.document_id GROUP BY ALL""")
+def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest whole run: documents and events streamed through the worker into a new store; what the index
+    then holds of every document."""
+    engine, events = _running(spark, sf_dir)
+    _apply_events(engine, events, [F.col("id")])
+    # The chunks of one document, to compare them in order.
+    chunks = engine.store.read("chunks", columns=["document_id", "content_hash", "position"]).groupBy("document_id").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("position", "content_hash"))).alias("c"))
+    return engine.store.read("index_state").join(chunks, "document_id", "left").select("document_id", "indexed_version", "deleted", F.coalesce("n", F.lit(0)).alias("n_chunks"), F.sha2(F.coalesce(F.array_join("c.content_hash", ""), F.lit("")), 256).alias("chunks"))
+
+
+@query("SELECT unnest(['again', 'reversed', 'shuffled']) AS replay, 0 AS differences")
+def stream_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events again, backwards, and in an order without sense: what each replay changed in the index."""
+    engine, events = _running(spark, sf_dir)
+    _apply_events(engine, events, [F.col("id")])
+    out, before = [], materialize(engine.snapshot(), "snapshot")
+    for name, order in (("again", F.col("id")), ("reversed", F.col("id").desc()), ("shuffled", F.md5(F.col("id").cast("string")))):
+        _apply_events(engine, events, [order])
+        out.append((name, engine.differences(before, engine.snapshot()).count()))
+    return spark.createDataFrame(out, "replay string, differences long")
+
+
+@query("""e AS (SELECT count(*) FILTER (document_id IS NOT NULL AND event_id IS NOT NULL AND event_type IN ('upserted', 'deleted') AND document_version IS NOT NULL AND created_at IS NOT NULL) AS good, count(*) AS n FROM o)
+SELECT 'valid' AS label, CAST(good AS DOUBLE) AS value FROM e UNION ALL SELECT 'malformed', CAST(n - good AS DOUBLE) FROM e""")
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the worker's own counters say about the events it took."""
+    engine, events = _running(spark, sf_dir)
+    w = _apply_events(engine, events, [F.col("id")])
+    held = metrics.read_counters(spark, str(w.metrics))
+    return metrics.grown(held.limit(0), held).filter("name = 'events_total'").select("label", "value")
+
+
+@query(f"""{_INDEXED}, st AS (SELECT count(*) AS n FROM d WHERE document_id NOT IN (SELECT document_id FROM di))
+SELECT least(st.n, 200) AS requeued_first, greatest(least(st.n - 200, 200), 0) AS requeued_second, 0 AS waiting, CAST((SELECT count(*) FROM d WHERE version IS NOT NULL) - greatest(st.n - 400, 0) AS BIGINT) AS indexed FROM st""")
+def reconcile_requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without any event are queued by two passes of repair, published, and indexed."""
+    engine, events = _running(spark, sf_dir)
+    engine.settings = dataclasses.replace(engine.settings, reconcile_batch=200)
+    _apply_events(engine, events, [F.col("id")])
+    passes, folder = [engine.reconcile().requeued, engine.reconcile().requeued], new_folder(spark, "requeued")
+    engine.drain(folder)
+    if sum(passes):
+        worker.Worker(engine, worker.read_events(spark, folder), new_folder(spark, "checkpoint"), new_folder(spark, "dead")).drain()
+    return spark.createDataFrame([(*passes, engine.backlog(), engine.store.read("index_state").count())], "requeued_first long, requeued_second long, waiting long, indexed long")
+
+
+@query("""n AS (SELECT count(*) FILTER (document_id IS NOT NULL) AS n, count(*) FILTER (document_id IS NOT NULL AND id % 3 = 0) AS third, min(id) FILTER (document_id IS NOT NULL AND id % 3 <> 0) AS first FROM o)
+SELECT third AS marked, n - third AS waiting, first AS oldest_waiting FROM n""")
+def publish_acknowledged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink that acknowledges every third event: only those are marked as published."""
+
+    class Third:
+        def send(self, batch: DataFrame) -> DataFrame:
+            return batch.filter("id % 3 = 0").select("id")
+
+    engine = Engine(spark, new_folder(spark, "store"), Settings(embedding_dimension=64, buckets=8))
+    events = clean.outbox(spark, sf_dir).filter("document_id IS NOT NULL").withColumn("published_at", F.lit(None).cast("timestamp"))
+    engine.store.commit(engine.store.manifest(), {"outbox": (events, None)})
+    marked = engine.publish(Third(), 0)
+    left = engine.store.read("outbox", columns=["id", "published_at"]).filter("published_at IS NULL").agg(F.count(F.lit(1)).alias("waiting"), F.min("id").alias("oldest_waiting"))
+    return left.select(F.lit(marked).cast("long").alias("marked"), "waiting", "oldest_waiting")
+
+
+@query(f"""{_SIM}, t AS (SELECT vec_id FROM sc ORDER BY score DESC, vec_id LIMIT 50) SELECT 50 AS hits, (SELECT count(*) FROM t WHERE CAST(vec_id AS VARCHAR) LIKE '%7%') AS containing, coalesce((SELECT min(vec_id) FROM t WHERE CAST(vec_id AS VARCHAR) LIKE '%7%'), -1) AS least""")
+def hits_containing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the best hits those whose content has a text; the number of the vector stands for its content."""
+    scored = table(spark, sf_dir, "embeddings").select("vec_id", F.col("vec_id").cast("string").alias("content"), cosine_similarity(F.col("embedding"), literal(_probe(spark, sf_dir))).alias("score"))
+    hits = scored.orderBy(F.col("score").desc(), "vec_id").limit(50)
+    found = searching.containing(hits, "7").agg(F.count(F.lit(1)).alias("containing"), F.coalesce(F.min("vec_id"), F.lit(-1)).alias("least"))
+    return hits.agg(F.count(F.lit(1)).alias("hits")).crossJoin(found)  # one row each
+
+
+_WORKLOAD = """wd AS (SELECT i AS d, CAST('0x' || md5('42:' || i)[1:4] AS INTEGER) % 9 + 4 AS n FROM range(1000) r(i)),
+wp AS (SELECT d, p, md5('42:' || d || ':' || p)[1:2] < '1a' AS edited FROM (SELECT d, unnest(range(n)) AS p FROM wd))"""
+
+
+@query(f"""{_WORKLOAD} SELECT (SELECT count(*) FROM wd) AS documents, (SELECT count(*) FROM wp) AS paragraphs, (SELECT count(DISTINCT d) FROM wp WHERE edited) AS documents_edited,
+(SELECT count(*) FROM wp WHERE edited) AS chunks_embedded, (SELECT count(*) FROM wp WHERE d IN (SELECT d FROM wp WHERE edited)) AS chunks_in_edited""")
+def workload_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published workload: 1,000 documents of 4 to 12 paragraphs, about a tenth of the paragraphs rewritten."""
+    docs = workload.synthetic_documents(spark, 1000, 42)
+    parts = docs.select("document_id", "number", text.paragraphs(F.col("content")).alias("ps"))
+    edited = workload.rewrite(F.col("ps"), lambda i: F.substring(F.md5(F.concat_ws(":", F.lit("42"), F.col("number").cast("string"), i.cast("string"))), 1, 2) < "1a", lambda p: F.concat(p, F.lit(" It was revised.")))
+    before = chunk_documents(docs.select("document_id", "content"))
+    after = chunk_documents(parts.select("document_id", workload.join(edited).alias("content")))
+    per = diffing.summarize(diffing.diff_chunks(after, before)).withColumn("t", F.col("to_embed") + F.col("to_reuse"))
+    hit = F.col("to_embed") > 0
+    return per.agg(F.count(F.lit(1)).alias("documents"), F.sum("t").alias("paragraphs"), F.count_if(hit).alias("documents_edited"), F.sum("to_embed").alias("chunks_embedded"), F.sum(F.when(hit, F.col("t"))).alias("chunks_in_edited"))

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +18,8 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: The folders made for local sessions that name none.
 _LOCAL: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+#: The folders made within ``scratch``, by thread.
+_OPEN = threading.local()
 
 
 def local_session(app: str = "driftmark", cores: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -78,7 +83,25 @@ def ship(spark: SparkSession) -> None:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
-    return f"{shared_root(spark)}/driftmark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/driftmark/{name}-{uuid.uuid4().hex}"
+    if stack := getattr(_OPEN, "stack", None):
+        stack[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end all folders that this thread made within; nothing that reads them may be used later."""
+    from driftmark.sources.files import Folder
+
+    if not hasattr(_OPEN, "stack"):
+        _OPEN.stack = []
+    _OPEN.stack.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.stack.pop():
+            Folder(spark, path).remove()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -30,9 +30,16 @@ class Settings:
     min_chars: int = 80
     max_chars: int = 1000
     buckets: int = 16
+    lock_seconds: float = 900.0
+    embedding_url: str = ""
+    embedding_model: str = "text-embedding-3-small"
+    embedding_key_variable: str = "EMBEDDING_API_KEY"
+    embedding_timeout_seconds: float = 30.0
+    kafka_servers: str = ""
+    kafka_topic: str = "document-changes"
 
     def __post_init__(self) -> None:
-        positive = ("embedding_dimension", "reconcile_interval_seconds", "reconcile_batch", "relay_batch", "relay_poll_interval_ms", "min_chars", "buckets")
+        positive = ("embedding_dimension", "reconcile_interval_seconds", "reconcile_batch", "relay_batch", "relay_poll_interval_ms", "min_chars", "buckets", "lock_seconds", "embedding_timeout_seconds")
         for name in positive:
             if getattr(self, name) <= 0:
                 raise SettingsError(f"{name} must be positive")
@@ -41,8 +48,10 @@ class Settings:
                 raise SettingsError(f"{name} must not be negative")
         if not 0.0 <= self.embedding_failure_rate <= 1.0:
             raise SettingsError("embedding_failure_rate must be between 0 and 1")
-        if self.embedding_provider != "hashed":
+        if self.embedding_provider not in ("hashed", "remote"):
             raise SettingsError(f"unknown embedding_provider {self.embedding_provider!r}")
+        if self.embedding_provider == "remote" and not self.embedding_url:
+            raise SettingsError("embedding_provider remote needs embedding_url")
         if self.max_chars < self.min_chars:
             raise SettingsError("max_chars must not be less than min_chars")
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftmark.engine import Engine
 from driftmark.functions.text import decode_event
+from driftmark.operators import metrics
+from driftmark.session import as_uri, materialize, scratch
+from driftmark.sources.files import Folder
 
 MESSAGE = "key binary, value string"
 DEAD = "key binary, value string, headers map<string,string>"
@@ -45,31 +48,50 @@ def dead_letters(rows: DataFrame, error_type: Any, error_message: Any, attempts:
 
 def outcomes(decoded: DataFrame, results: DataFrame) -> DataFrame:
     """(``document_id``, ``outcome``) per event: of several events of a document the first has the outcome
-    and the others find it done, as if they had been taken one by one."""
-    first = F.row_number().over(Window.partitionBy("document_id").orderBy("source_offset")) == 1
-    joined = decoded.withColumn("dm_first", first).join(results.select("document_id", F.col("outcome").alias("dm_outcome")), "document_id", "left")
-    return joined.select("document_id", F.when(F.col("dm_first"), F.coalesce("dm_outcome", F.lit("skipped_stale"))).otherwise("skipped_stale").alias("outcome"))
+    and the others find it done, as if they had been taken one by one.
+
+    The first is found by an aggregation, which the map side reduces to a row per document and task, and joined
+    with what happened to the document: a document with a third of all events is one row of that join's other side.
+    """
+    first = decoded.groupBy("document_id").agg(F.min("source_offset").alias("dm_first"))
+    of = first.join(results.select("document_id", F.col("outcome").alias("dm_outcome")), "document_id", "left").select(F.col("document_id").alias("dm_id"), "dm_first", F.coalesce("dm_outcome", F.lit("skipped_stale")).alias("dm_outcome"))
+    joined = decoded.join(of, (F.col("document_id") == F.col("dm_id")) & (F.col("source_offset") == F.col("dm_first")), "left")
+    return joined.select("document_id", F.coalesce("dm_outcome", F.lit("skipped_stale")).alias("outcome"))
 
 
 class Worker:
     """Applies events batch by batch. A batch that fails is replayed from the checkpoint, and one that was
-    committed before is skipped, so repeated and disordered events do no harm."""
+    committed before is skipped, so repeated and disordered events do no harm.
+
+    Batches are known by the checkpoint's own id, so a new checkpoint starts from its first batch. With ``metrics``
+    each batch leaves its counters there, a replay its own again.
+    """
 
-    def __init__(self, engine: Engine, events: DataFrame, checkpoint: str, dead: str, name: str = "worker") -> None:
-        self.engine, self.events, self.checkpoint, self.dead, self.name = engine, events, checkpoint, dead, name
+    def __init__(self, engine: Engine, events: DataFrame, checkpoint: str, dead: str, name: str = "worker", metrics: str | None = None) -> None:
+        self.engine, self.events, self.checkpoint, self.dead, self.name, self.metrics = engine, events, checkpoint, dead, name, metrics
+
+    def identity(self) -> str:
+        """The name and the id that Spark wrote into the checkpoint."""
+        folder = Folder(self.engine.spark, as_uri(self.checkpoint))
+        return f"{self.name}-{folder.load('metadata')['id']}" if folder.exists("metadata") else self.name
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        decoded = batch.withColumn("e", decode_event(F.col("value")))
+        with scratch(self.engine.spark):
+            self._apply(batch, batch_id, self.identity())
+
+    def _apply(self, batch: DataFrame, batch_id: int, worker: str) -> None:
+        decoded = materialize(batch.withColumn("e", decode_event(F.col("value"))), "decoded")
         good, bad = decoded.filter("e.error IS NULL"), decoded.filter("e.error IS NOT NULL")
-        now = self.engine.now()
+        now, name = self.engine.now(), f"{worker}-{batch_id:012d}"
         # Keyed by batch: a replay overwrites its own letters. Those of malformed events do not wait for the commit,
         # those of failed documents are written from what the commit kept, by whichever attempt comes after it.
-        self._letters(dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), now), f"{batch_id:012d}")
-        name = f"{self.name}-{batch_id}"
-        self.engine.process(good.select(F.col("e.document_id").alias("document_id")), name)
-        if (failures := self.engine.failures(name)) is not None:
+        self._letters(dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), now), name)
+        plan = self.engine.process(good.select(F.col("e.document_id").alias("document_id")), worker, batch_id)
+        if (failures := self.engine.failures(worker, batch_id)) is not None:
             failed = good.join(failures.withColumnRenamed("document_id", "d"), F.col("e.document_id") == F.col("d"))
-            self._letters(dead_letters(failed, F.col("error_type"), F.col("error_message"), F.col("attempts"), now), f"{batch_id:012d}-failed")
+            self._letters(dead_letters(failed, F.col("error_type"), F.col("error_message"), F.col("attempts"), now), f"{name}-failed")
+        if self.metrics is not None and plan is not None:
+            metrics.batch_samples(plan.results, good.count(), bad.count(), now).write.mode("overwrite").parquet(f"{self.metrics}/batch={name}")
 
     def _letters(self, letters: DataFrame, batch: str) -> None:
         letters.write.mode("overwrite").parquet(f"{self.dead}/batch={batch}")

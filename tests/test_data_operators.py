@@ -110,7 +110,7 @@ def test_lost_commit_is_not_visible(spark):
 
 
 def test_merge_reads_in_small_batches(spark):
-    from driftmark.operators.changelog import _merge_bucket
+    from driftmark.operators.changelog import merge_files
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -120,7 +120,7 @@ def test_merge_reads_in_small_batches(spark):
     for part in range(4):
         names += store.append(spark.createDataFrame(rows[part::4], CHANGES), _spec())
     schema = to_arrow_schema(T.StructType.fromJson(__import__("json").loads(store.manifest()["schema"])))
-    got = [r for b in _merge_bucket(store.root, names, 0, schema, rows=3) for r in b.to_pylist()]
+    got = [r for b in merge_files(store.root, names, 0, schema, rows=3) for r in b.to_pylist()]
     assert {(r["dm_key"], r["dm_seq"]) for r in got} == {(u, 5) for u in U} and len(got) == 40
 
 

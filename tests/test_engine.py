@@ -78,14 +78,16 @@ def test_lost_events_are_reconciled(spark, tmp_path):
     assert kinds(engine) == []
     base = engine.store.manifest()
     stray = engine.store.read("chunks").withColumn("document_id", F.lit("0" * 8 + "-0000-4000-8000-" + "0" * 12))
-    touched = engine.store.touched(stray)
-    engine.store.commit(base, {"chunks": (engine.store.read("chunks", base, touched).unionByName(stray), touched)})
+    engine.store.commit(base, {"chunks": (stray, None)})
     assert [k for k, _ in kinds(engine)] == ["orphan_chunk"]
     report = engine.reconcile()
     assert (report.orphan_chunks, report.orphan_chunks_deleted) == (1, 1) and kinds(engine) == []
     assert engine.get(a)["version"] == 1
-    engine.locks.create("reconcile", {})
-    assert engine.reconcile().skipped
+    # A pass in progress keeps others out; one whose driver was lost does so until its lock expires.
+    assert engine._lock("reconcile") and engine.reconcile().skipped
+    engine.locks.remove(engine._held)
+    engine.locks.create("reconcile-000000007.json", {"until": 0.0})
+    assert not engine.reconcile().skipped and engine.locks.names() == []
 
 
 def test_failures_go_to_dead_letters(spark, tmp_path):
@@ -109,7 +111,7 @@ def test_letters_survive_a_driver_lost_after_the_commit(spark, tmp_path):
     spark.createDataFrame([(b"k", "{broken")], "key binary, value string").write.mode("append").parquet(f"{tmp_path}/events")
     w = worker(engine, tmp_path)
     rows = spark.read.schema("key binary, value string").parquet(f"{tmp_path}/events").withColumns({"source_topic": F.lit("t"), "source_partition": F.lit(0), "source_offset": F.monotonically_increasing_id()})
-    engine.process(spark.createDataFrame([(a,)], "document_id string"), "w-0")  # committed, then the driver died
+    engine.process(spark.createDataFrame([(a,)], "document_id string"), "w", 0)  # committed, then the driver died
     for _ in range(2):
         w.apply(rows, 0)  # the replay finds its batch committed
         dead = read_dead_letters(spark, w.dead).collect()
@@ -122,6 +124,6 @@ def test_commits_are_all_or_nothing(spark, tmp_path):
     base = engine.store.manifest()
     engine.create("Other", KEEP)
     rows = engine.store.read("documents", base)
-    assert engine.store.commit(base, {"documents": (rows, [0, 1])}) is None  # another commit came first
+    assert engine.store.commit(base, {"documents": (rows, None)}) is None  # another commit came first
     assert engine.store.read("documents").count() == 2
     assert [r["kind"] for r in verifying.counts(engine.verify()).collect()] == ["missing_chunks", "missing_index_state"]
