@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftmark.operators import mutations, reconciling, searching, verifying
+from driftmark.operators.cells import CellIndex
 from driftmark.operators.chunking import ChunkingConfig
 from driftmark.operators.embedding import HttpEmbeddings, RetryPolicy, TransientEmbeddingError, create_provider
 from driftmark.operators.indexing import IndexPlan, stale
@@ -55,7 +56,7 @@ class Engine:
         self.store = SnapshotStore(spark, as_uri(root), self.provider.dimension, self.settings.buckets)
         self.chunking = ChunkingConfig(self.settings.min_chars, self.settings.max_chars)
         self.policy = RetryPolicy(self.settings.max_retries, self.settings.retry_base_delay_seconds)
-        self.locks = Folder(spark, f"{self.store.root}/locks")
+        self.locks, self.indexes = Folder(spark, f"{self.store.root}/locks"), Folder(spark, f"{self.store.root}/indexes")
 
     def now(self) -> Any:
         """The commit time as a constant, the same in every task and retry."""
@@ -79,7 +80,7 @@ class Engine:
         named = self.store.select(changes)
         for _ in range(ATTEMPTS):
             base, now = self.store.manifest(), self.now()
-            documents = self.store.read("documents", base, named)
+            documents = materialize(self.store.read("documents", base, named), "documents")
             folded = materialize(mutations.fold(documents, changes), "folded")
             added = folded.count()
             if not added:
@@ -170,14 +171,13 @@ class Engine:
         replays harmless. Its failures are kept beside the store and named by the commit, see ``failures``.
         """
         named = self.store.select(documents)
-        ids = materialize(documents.select("document_id").dropna().distinct(), "ids")
         for _ in range(ATTEMPTS):
             base, now = self.store.manifest(), self.now()
             if worker is not None and batch <= base["batches"].get(worker, {"batch": -1})["batch"]:
                 return None
-            read = lambda t: self.store.read(t, base, named)
-            current = read("documents").join(ids, "document_id", "left_semi")
-            plan = IndexPlan(current, read("index_state"), read("chunks"), self.provider, now, self.chunking, self.policy)
+            # Of the documents at hand only; merged once, as the plan looks at them several times.
+            read = lambda t: materialize(self.store.read(t, base, named), t)
+            plan = IndexPlan(read("documents"), read("index_state"), read("chunks"), self.provider, now, self.chunking, self.policy)
             plan.results = materialize(plan.results, "results")
             batches = base["batches"]
             if worker is not None:
@@ -260,12 +260,59 @@ class Engine:
         return verifying.violations(*(self.store.read(t, base) for t in ("documents", "index_state", "chunks")), provider=self.provider if embeddings else None, config=self.chunking)
 
     def search(self, query: str, top_k: int = 5, document_id: str | None = None) -> DataFrame:
+        """The best chunks of live documents, by an exact scan."""
+        vector = self._vector(query)
+        base = self.store.manifest()
+        only = None if document_id is None else self.store.select(self.spark.createDataFrame([(document_id,)], "document_id string"))
+        chunks, documents, state = (self.store.read(t, base, only) for t in ("chunks", "documents", "index_state"))
+        return searching.search(chunks, documents, state, vector, top_k, document_id)
+
+    def _vector(self, query: str) -> list[float]:
         if not query:
             raise searching.InvalidRequest("a query of at least one character is required")
         try:
-            vector = self.provider.embed([query])[0]
+            return self.provider.embed([query])[0]
         except TransientEmbeddingError as e:
             raise Unavailable(str(e)) from e
+
+    def build_vector_index(self, cells: int | None = None) -> CellIndex:
+        """Index the vectors of the current commit by cells; searches see later commits all the same."""
         base = self.store.manifest()
-        chunks, documents, state = (self.store.read(t, base) for t in ("chunks", "documents", "index_state"))
-        return searching.search(chunks, documents, state, vector, top_k, document_id)
+        rows = self.store.read("chunks", base, columns=["document_id", "content_hash", "embedding"])
+        root = f"{self.store.root}/vectors/{base['version']:012d}-{uuid.uuid4().hex[:8]}"
+        index = CellIndex.build(rows, root, "embedding", cells, version=base["version"])
+        self.indexes.create(f"index-{base['version']:012d}-{uuid.uuid4().hex[:8]}.json", {"root": root})
+        return index
+
+    def search_indexed(self, query: str, top_k: int = 5, slack: float = 0.0) -> DataFrame:
+        """The same as ``search`` through the newest vector index: exact, or with ``slack`` (an angle) nearly so.
+
+        Chunks put since the index was built are scanned; what the index holds of chunks that are gone, and of
+        documents that are, does not count.
+        """
+        if not 1 <= top_k <= 50:
+            raise searching.InvalidRequest("top_k must be between 1 and 50")
+        vector, base, names = self._vector(query), self.store.manifest(), self.indexes.names()
+        index = CellIndex(self.spark, self.indexes.load(names[-1])["root"]) if names else self.build_vector_index()
+        held: list[Any] = []
+
+        def accept(candidates: list[Any]) -> list[Any]:
+            """Candidates that are chunks of live documents still; only their documents are read."""
+            if not candidates:
+                return []
+            schema = "document_id string, content_hash string, score double"
+            rows = self.spark.createDataFrame([(r["document_id"], r["content_hash"], r["score"]) for r in candidates], schema)
+            only = self.store.select(rows)
+            of = lambda t, c=None: self.store.read(t, base, only, c)
+            live, state = of("documents", ["document_id", "title", "deleted"]), of("index_state", ["document_id", "indexed_version", "deleted"])
+            chunks = of("chunks", ["document_id", "content_hash", "position", "content"])
+            joined = rows.join(chunks, ["document_id", "content_hash"]).join(live.filter("NOT deleted").drop("deleted"), "document_id").join(state.filter("NOT deleted").drop("deleted"), "document_id")
+            found = joined.orderBy(F.col("score").desc(), "document_id", "position").collect()
+            held.extend(found)
+            return found
+
+        index.search(vector, top_k, ["document_id", "content_hash"], accept, slack)
+        later = searching.search(self.store.read("chunks", base, since=index.extra["version"]), self.store.read("documents", base), self.store.read("index_state", base), vector, top_k).collect()
+        columns = ["document_id", "title", "indexed_version", "position", "content", "score"]
+        best = sorted({tuple(r[c] for c in columns) for r in [*held, *later]}, key=lambda r: (-r[5], r[0], r[3]))[:top_k]
+        return self.spark.createDataFrame(best, "document_id string, title string, indexed_version int, position int, content string, score double")

@@ -13,6 +13,7 @@ from driftmark.functions import text
 from driftmark.functions.vectors import close, cosine_distance, cosine_similarity, literal, norm
 from driftmark.engine import Engine
 from driftmark.operators import diffing, indexing, metrics, mutations, reconciling, searching, verifying, workload
+from driftmark.operators.cells import CellIndex
 from driftmark.operators.chunking import chunk_documents
 from driftmark.operators.embedding import HashedWords, RetryPolicy, embed_texts
 from driftmark.plans import clean
@@ -375,11 +376,20 @@ def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.orderBy(F.col("s").desc(), "vec_id").limit(5).select("vec_id", F.round("s", 6).alias("score"))
 
 
+@query(f"{_SIM} SELECT vec_id, round(score, 6) AS score FROM sc ORDER BY sc.score DESC, vec_id LIMIT 5")
+def search_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through an index by cells, which ends when no cell that is left can hold anything better."""
+    index = CellIndex.build(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), new_folder(spark, "cells"))
+    found, _ = index.search(_probe(spark, sf_dir), 5, ["vec_id"])
+    return spark.createDataFrame([(r["vec_id"], r["score"]) for r in found], "vec_id long, score double").select("vec_id", F.round("score", 6).alias("score"))
+
+
 @query(f"{_SIM} SELECT vec_id, round(score, 6) AS score FROM sc WHERE label = (SELECT min(label) FROM embeddings) ORDER BY sc.score DESC, vec_id LIMIT 5")
 def search_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Within one label, which stands for a document: a literal that reaches the scan. One value is read to the driver."""
     rows = table(spark, sf_dir, "embeddings")
-    scoped = rows.join(rows.agg(F.min("label").alias("label")), "label")
-    scored = scoped.select("vec_id", cosine_similarity(F.col("embedding"), literal(_probe(spark, sf_dir))).alias("s"))
+    label = rows.agg(F.min("label")).collect()[0][0]
+    scored = rows.filter(F.col("label") == label).select("vec_id", cosine_similarity(F.col("embedding"), literal(_probe(spark, sf_dir))).alias("s"))
     return scored.orderBy(F.col("s").desc(), "vec_id").limit(5).select("vec_id", F.round("s", 6).alias("score"))
 
 

@@ -108,12 +108,13 @@ class SnapshotStore:
         found = [n.removeprefix("bucket=") for n in Folder(self.spark, path).names() if n.startswith("bucket=")]
         return Selection(path, tuple(sorted(map(int, found))))
 
-    def read(self, table: str, manifest: dict[str, Any] | None = None, only: Selection | None = None, columns: list[str] | None = None) -> DataFrame:
-        """A table in the state of one manifest: all columns or some, all documents or those selected.
+    def read(self, table: str, manifest: dict[str, Any] | None = None, only: Selection | None = None, columns: list[str] | None = None, since: int | None = None) -> DataFrame:
+        """A table in the state of one manifest: all columns or some, all documents or those selected, all rows or
+        those put after the commit ``since``, for which older runs are not read.
 
         A task owns a bucket and merges its runs in step, so nothing is shuffled and memory is one batch per run.
         """
-        runs = (manifest or self.manifest())["tables"][table]
+        runs = [r for r in (manifest or self.manifest())["tables"][table] if since is None or r["last"] > since]
         whole = T.StructType.fromDDL(SCHEMAS[table])
         wanted = T.StructType([f for f in whole.fields if columns is None or f.name in columns])
         buckets = range(self.buckets) if only is None else only.buckets
@@ -124,9 +125,13 @@ class SnapshotStore:
         root, names, path = self.root, [r["name"] for r in runs], only.path if only is not None else None
 
         def merge(batches: Iterator[Any]) -> Iterator[Any]:
+            import pyarrow.compute as pc
+
             for batch in batches:
                 for bucket in batch.column(0).to_pylist():
                     for found in _merge(root, names, bucket, arrow, path):
+                        if since is not None:
+                            found = found.filter(pc.greater(found.column(_SEQ), since))
                         yield found.select(given.names)
 
         at = self.spark.createDataFrame([(b,) for b in buckets], "bucket int").repartition(len(buckets), "bucket")
@@ -147,7 +152,7 @@ class SnapshotStore:
         name = f"{table}/{version}-{uuid.uuid4().hex[:8]}"
         rows = rows.withColumn("bucket", self.bucket()).repartition(self.buckets, "bucket").sortWithinPartitions("bucket", _KEY)
         rows.write.option("parquet.block.size", 8 << 20).partitionBy("bucket").parquet(f"{self.root}/{name}")
-        return {"name": name, "level": level}
+        return {"name": name, "level": level, "last": version}
 
     def commit(self, base: dict[str, Any], tables: dict[str, tuple[DataFrame | None, DataFrame | None]], **extra: Any) -> dict[str, Any] | None:
         """Put rows into tables and take rows out (named by their keys), all at once; None if another commit came
@@ -184,7 +189,7 @@ class SnapshotStore:
                             yield from _merge(root, names, bucket, arrow, None, bottom)
 
                 rows = self.spark.range(0, self.buckets, 1, self.buckets).mapInArrow(merge, stored)
-                run = self._store(table, rows, version, level + 1)
+                run = self._store(table, rows, version, level + 1) | {"last": max(r["last"] for r in due)}
                 at = runs.index(due[0])
                 kept = [r for r in runs if r["level"] != level]
                 tables = base["tables"] | {table: [*kept[:at], run, *kept[at:]]}
