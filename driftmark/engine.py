@@ -17,7 +17,7 @@ from driftmark.operators.cells import CellIndex
 from driftmark.operators.chunking import ChunkingConfig
 from driftmark.operators.embedding import HttpEmbeddings, RetryPolicy, TransientEmbeddingError, create_provider
 from driftmark.operators.indexing import IndexPlan, stale
-from driftmark.session import as_uri, materialize
+from driftmark.session import as_uri, materialize, together
 from driftmark.settings import Settings
 from driftmark.sources.files import Folder
 from driftmark.sources.sinks import EventSink, FileSink
@@ -176,13 +176,13 @@ class Engine:
             if worker is not None and batch <= base["batches"].get(worker, {"batch": -1})["batch"]:
                 return None
             # Of the documents at hand only; merged once, as the plan looks at them several times.
-            read = lambda t: materialize(self.store.read(t, base, named), t)
-            plan = IndexPlan(read("documents"), read("index_state"), read("chunks"), self.provider, now, self.chunking, self.policy)
-            plan.results = materialize(plan.results, "results")
-            batches = base["batches"]
+            read = lambda t: lambda: materialize(self.store.read(t, base, named), t)
+            held = together(read("documents"), read("index_state"), read("chunks"))
+            plan = IndexPlan(*held, self.provider, now, self.chunking, self.policy)
+            batches, path = base["batches"], f"{self.store.root}/failures/{uuid.uuid4().hex}"
+            results, _ = together(lambda: materialize(plan.results, "results"), lambda: plan.failures.write.parquet(path) if worker is not None else None)  # noqa: B023 - done before the next round
+            plan.results = results
             if worker is not None:
-                path = f"{self.store.root}/failures/{uuid.uuid4().hex}"
-                plan.failures.write.parquet(path)
                 batches = batches | {worker: {"batch": batch, "failures": path}}
             if self.store.commit(base, {"chunks": (plan.upserts, plan.removed), "index_state": (plan.state, None)}, batches=batches):
                 self.store.compact()

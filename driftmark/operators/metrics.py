@@ -74,10 +74,11 @@ def histogram_quantile(buckets: DataFrame, q: float) -> DataFrame:
 def counter_deltas(samples: DataFrame, series: Sequence[str], order: Sequence[str] = ("ts",), block: str = "6 hours") -> DataFrame:
     """The samples with ``delta``: the growth since the sample before; after a reset the value itself.
 
-    A series is cut into blocks of time, so that one with a third of all samples is spread over as many tasks; the
+    A series is cut into blocks of time (of 4,096 numbers where the order is one), so that one with a third of all samples is spread over as many tasks; the
     first sample of a block is compared with the last of the block before, of which there is a row per block.
     """
-    cut = samples.withColumn("dm_block", F.window(order[0], block)["start"])
+    timed = dict(samples.dtypes)[order[0]].startswith("timestamp")
+    cut = samples.withColumn("dm_block", F.window(order[0], block)["start"] if timed else F.floor(F.col(order[0]) / 4096))
     last = cut.groupBy(*series, "dm_block").agg(F.max_by("value", F.struct(*order)).alias("dm_last"))
     carried = last.withColumn("dm_carried", F.lag("dm_last").over(Window.partitionBy(*series).orderBy("dm_block"))).drop("dm_last")
     within = F.lag("value").over(Window.partitionBy(*series, "dm_block").orderBy(*order))

@@ -8,10 +8,12 @@ import tempfile
 import threading
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
+from typing import Any
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -104,6 +106,28 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             Folder(spark, path).remove()
 
 
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """The results of steps that do not depend on each other, whose Spark jobs run side by side."""
+    stack, out, threads = getattr(_OPEN, "stack", []), [None] * len(steps), []
+
+    def run(i: int) -> None:
+        _OPEN.stack = stack  # folders count as made by the caller
+        try:
+            out[i] = (True, steps[i]())
+        except BaseException as e:  # noqa: BLE001 - raised again by the caller
+            out[i] = (False, e)
+
+    for i in range(len(steps)):
+        threads.append(InheritableThread(target=run, args=(i,)))
+        threads[-1].start()
+    for t in threads:
+        t.join()
+    for done, value in out:
+        if not done:
+            raise value
+    return [value for _, value in out]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from driftmark.operators.changelog import _DEAD, _KEY, _SEQ, merge_files
-from driftmark.session import new_folder, ship
+from driftmark.session import new_folder, ship, together
 from driftmark.sources.files import Folder
 
 FORMAT = 2
@@ -158,7 +158,9 @@ class SnapshotStore:
         """Put rows into tables and take rows out (named by their keys), all at once; None if another commit came
         first. A key is in one of the two frames of its table, and once."""
         version = base["version"] + 1
-        runs = {t: [self._write(t, put, out, version)] for t, (put, out) in tables.items() if put is not None or out is not None}
+        changed = {t: c for t, c in tables.items() if c[0] is not None or c[1] is not None}
+        written = together(*[lambda t=t, c=c: self._write(t, *c, version) for t, c in changed.items()])
+        runs = {t: [w] for t, w in zip(changed, written)}
         new = {**base, **extra, "version": version, "tables": {t: [*held, *runs.get(t, [])] for t, held in base["tables"].items()}}
         if not self.folder.create(self._name(version), new):
             return None

@@ -159,10 +159,9 @@ def test_vectors(spark):
 
 def test_metrics_edge_cases(spark):
     none = spark.createDataFrame([], "lag double")
-    assert math.isnan(none.agg(metrics.nearest_rank("lag", 0.5)).head()[0])
     assert math.isnan(metrics.histogram_quantile(metrics.histogram(none, "lag"), 0.5).head()[0])
     some = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 5000)], "lag double")
-    assert some.agg(metrics.nearest_rank("lag", 0.5), metrics.nearest_rank("lag", 0.99)).head()[:] == (2.0, 5000.0)
+    assert metrics.nearest_ranks(some, "lag", (0.5, 0.99)).head()[:] == (2.0, 5000.0)
     assert metrics.histogram_quantile(metrics.histogram(some, "lag"), 0.99).head()[0] == 1800.0
     samples = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 7.0), ("a", 3, 1.0)], "name string, ts int, value double")
     assert [r["delta"] for r in metrics.counter_deltas(samples, ["name"]).orderBy("ts").collect()] == [0.0, 2.0, 1.0]
