@@ -4,6 +4,22 @@ from __future__ import annotations
 
 _WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+_INLINE = "a|abbr|b|big|cite|code|del|em|font|i|ins|kbd|mark|q|s|samp|small|span|strike|strong|sub|sup|tt|u|var"
+
+
+def _words(c: str) -> str:
+    """The words of a text as a list: without tags, accents, case and what is invisible."""
+    shown = f"regexp_replace(regexp_replace({c}, '(?i)</?(?:{_INLINE})(?:\\s[^<>]*)?/?>', '', 'g'), '</?[A-Za-z][A-Za-z0-9:-]*(?:\\s[^<>]*)?/?>', ' ', 'g')"
+    return f"regexp_extract_all(replace(lower(strip_accents(regexp_replace(nfc_normalize({shown}), '[\\x{{ad}}\\p{{Cf}}]', '', 'g'))), 'ß', 'ss'), '[\\p{{L}}\\p{{N}}]+')"
+
+
+#: Shared runs of 13 words by their places, and from neighbours on one diagonal the longest run of each pair.
+_RUNS = f"""dw AS (SELECT doc_id, {_words("text")} AS w FROM documents WHERE text IS NOT NULL), iw AS (SELECT item_id, {_words("item_text")} AS w, {_words("answer")} AS a FROM eval_items WHERE item_text IS NOT NULL),
+ds AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM dw)),
+si AS (SELECT item_id, j, array_to_string(w[j:j+12], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS j FROM iw)),
+h AS (SELECT item_id, doc_id, i, i - j AS diagonal FROM ds JOIN si USING (s)),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY item_id, doc_id, diagonal ORDER BY i) AS island FROM h),
+r AS (SELECT item_id, doc_id, diagonal, island, 12 + count(*) AS n FROM g GROUP BY ALL)"""
 _NEAREST = """e AS (SELECT id, min(embedding)::DOUBLE[] AS v FROM chunks WHERE id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0 GROUP BY id),
 s AS (SELECT a.id, b.id AS other, list_cosine_similarity(a.v, b.v) AS cosine FROM e a JOIN e b ON a.id <> b.id {asked}),
@@ -22,4 +38,7 @@ ORACLES: dict[str, str] = {
     "p4_rejoined": f"WITH {_PARAGRAPHS} SELECT document_id, paragraph_no, length(t) AS n_chars, length(t) > 1000 AS cut, true AS within_limit, true AS overlaps_kept, sha256(t) AS whole FROM q",
     "p7_kept": "SELECT true AS tokens_kept, true AS documents_kept, true AS attention_kept, count(*) AS texts, true AS texts_whole, true AS well_filled FROM documents",
     "p7_attention": "SELECT true AS tokens_kept, true AS documents_kept, true AS attention_kept, count(*) AS texts, true AS texts_whole FROM documents",
+    "p8_found": f"WITH {_RUNS} SELECT DISTINCT item_id, doc_id FROM r",
+    "p8_runs": f"""WITH {_RUNS} SELECT item_id, doc_id, CAST(max(n) AS INTEGER) AS n_words, bool_or(coalesce(len(a) > 0 AND contains(' ' || array_to_string(dw.w, ' ') || ' ', ' ' || array_to_string(a, ' ') || ' '), false)) AS answer_seen
+FROM r JOIN dw USING (doc_id) JOIN iw USING (item_id) GROUP BY item_id, doc_id""",
 }

@@ -103,6 +103,11 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_report(spark, sf_dir).select("item_id", "doc_id")
 
 
+def p8_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words each leak shares in a row at most, and whether the answer is there, too."""
+    return p8_report(spark, sf_dir).select("item_id", "doc_id", "n_words", "answer_seen")
+
+
 def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled documents with what is wrong and the restored text."""
     return encodings.find_garbled(table(spark, sf_dir, "documents"))
@@ -113,4 +118,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_report(spark, sf_dir).select("doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p4_rejoined, p6_found, p6_neighbours, p7_packed, p7_kept, p7_attention, p8_found, p8_report, p9_found, p9_report)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p4_rejoined, p6_found, p6_neighbours, p7_packed, p7_kept, p7_attention, p8_found, p8_report, p8_runs, p9_found, p9_report)}

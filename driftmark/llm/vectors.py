@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from driftmark.session import new_folder, ship
 
 FOUND = "query long, neighbour long, cosine float"
+#: Over how many tasks the members of a group of equal vectors are spread.
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -481,9 +483,11 @@ def nearest(rows: DataFrame, config: SearchConfig, id_column: str = "id", vector
     asked = F.lit(True) if queries is None else F.coalesce(queries | wide, F.lit(False))
     index, parts = write_index(stored.select("id", "u", asked.alias("asked")), config, n_rows, "vector-index")
     copies = stored.filter(wide)
-    # Every member of a group of copies, by its representative. The rows of a group that holds a third of the table
-    # lie in one partition of this join, which AQE splits as it is skewed; the other side is a row per group.
-    member_of = members.join(copies.select("u", F.col("id").alias("rep")), "u").select(F.col("id").alias("member"), "rep")
+    # Every member of a group of copies, by its representative. A group may hold a third of all rows, so both joins
+    # with groups are salted: a group is a row per salt, and its members are spread over them by their ids.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    member_of = salted.join(copies.select("u", F.col("id").alias("rep"), salts), ["u", "salt"]).select(F.col("id").alias("member"), "rep", "salt")
     by_rep = _best(_rounds(spark, index, parts, config, queries is None), k).select("query", "neighbour", "cosine")
     # A representative stands for its group: its members are neighbours of each other and of whom it is near.
     named = by_rep.join(copies.select(F.col("id").alias("neighbour"), "ids"), "neighbour", "left")
@@ -491,8 +495,10 @@ def nearest(rows: DataFrame, config: SearchConfig, id_column: str = "id", vector
     own = copies.select(F.col("id").alias("query"), F.explode("ids").alias("neighbour"), F.lit(1.0).cast("float").alias("cosine"))
     w = Window.partitionBy("query").orderBy(F.col("cosine").desc(), "neighbour")
     short = near.unionByName(own).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= 2 * k + 1).drop("r")
-    spread = short.join(member_of, F.col("query") == F.col("rep"), "left")
-    out = spread.select(F.coalesce("member", "query").alias("query"), "neighbour", "cosine").filter("query <> neighbour")
+    wide_ids = copies.select(F.col("id").alias("query"))
+    lists = short.join(wide_ids, "query", "left_semi").groupBy(F.col("query").alias("rep")).agg(F.collect_list(F.struct("neighbour", "cosine")).alias("found"))  # at most 2k + 1 each
+    of_members = member_of.join(lists.select("rep", "found", salts), ["rep", "salt"]).select(F.col("member").alias("query"), F.inline("found"))
+    out = short.join(wide_ids, "query", "left_anti").unionByName(of_members).filter("query <> neighbour")
     if queries is not None:
         out = out.withColumnRenamed("query", "id").filter(queries).withColumnRenamed("id", "query")
     return _best(out, k)
