@@ -142,9 +142,13 @@ class Engine:
             base, now = self.store.manifest(), self.now()
             waiting = self.store.read("outbox", base).filter("published_at IS NULL")
             batch = materialize(waiting.orderBy("id").limit(limit) if limit else waiting, "batch")
-            sent = materialize(sink.send(batch).select("id").distinct(), "sent")
-            done = batch.join(sent, "id", "left_semi").withColumn("published_at", now)
-            n = done.count()
+            n = batch.count()
+            sent = sink.send(batch) if n else None
+            done = batch
+            if sent is not None:
+                done = materialize(batch.join(sent.select("id"), "id", "left_semi"), "sent")
+                n = done.count()
+            done = done.withColumn("published_at", now)
             # Lost the race: the events stay unpublished and go out again, which readers bear.
             if not n or self.store.commit(base, {"outbox": (done, None)}):
                 self.store.compact()

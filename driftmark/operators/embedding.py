@@ -218,16 +218,23 @@ def embed_with_retries(provider: Any, texts: Sequence[str], policy: RetryPolicy,
 EMBEDDED = "document_id string, vectors array<struct<content_hash:string,embedding:array<float>>>, error_type string, error_message string, attempts int"
 
 
-def embed_documents(wanted: DataFrame, provider: Any, policy: RetryPolicy | None = None) -> DataFrame:
-    """Embed the new chunks of each document in one call, so that a document fails or succeeds as a whole.
+#: Chunks that one call embeds at most about.
+CALL_ROWS = 2048
 
-    ``wanted`` has document_id, content_hash and content. The chunks of a document come together in one row
-    (a document is bounded, so the list is) and are embedded in Arrow batches. A failure is a row with its
-    error and attempts instead of vectors; it does not fail the batch.
+
+def embed_documents(wanted: DataFrame, provider: Any, policy: RetryPolicy | None = None, call_rows: int = CALL_ROWS) -> DataFrame:
+    """Embed the new chunks of each document together, so that a document fails or succeeds as a whole.
+
+    ``wanted`` has document_id, content_hash and content. A document's chunks come together in one call, those of a
+    long document in several of about ``call_rows`` chunks, drawn by hash, so no row grows with the document. There
+    is a row per call, with its error and attempts instead of vectors where it failed; that does not fail the batch,
+    and a document of which any call failed has ``failures``.
     """
     policy = policy or RetryPolicy()
     ship(wanted.sparkSession)
-    grouped = wanted.groupBy("document_id").agg(F.sort_array(F.collect_list(F.struct("content_hash", "content"))).alias("chunks"))
+    sizes = wanted.groupBy("document_id").agg(F.ceil(F.count(F.lit(1)) / call_rows).alias("calls"))
+    parted = wanted.join(sizes, "document_id").withColumn("call", F.pmod(F.xxhash64("content_hash"), F.col("calls")))
+    grouped = parted.groupBy("document_id", "call").agg(F.sort_array(F.collect_list(F.struct("content_hash", "content"))).alias("chunks")).drop("call")
 
     def run(batches: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
@@ -246,6 +253,13 @@ def embed_documents(wanted: DataFrame, provider: Any, policy: RetryPolicy | None
     return grouped.mapInArrow(run, EMBEDDED)
 
 
+def failures(embedded: DataFrame) -> DataFrame:
+    """(``document_id``, ``error_type``, ``error_message``, ``attempts``) of the documents of which a call failed."""
+    failed = embedded.filter("error_type IS NOT NULL")
+    first = F.struct("error_type", "error_message", "attempts")
+    return failed.groupBy("document_id").agg(F.max_by(first, first).alias("e")).select("document_id", "e.*")
+
+
 def embed_texts(rows: DataFrame, provider: Any, text: str, *keep: str) -> DataFrame:
     """The rows' ``keep`` columns with ``embedding`` of their text, row by row in Arrow batches."""
     ship(rows.sparkSession)

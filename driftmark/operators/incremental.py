@@ -63,10 +63,12 @@ class ChangeLog:
 
     SCHEMA = "key string, offset long, position long, partition int"
 
-    def __init__(self, spark: SparkSession, root: str, partitions: int = 32) -> None:
+    def __init__(self, spark: SparkSession, root: str, partitions: int | None = None) -> None:
+        """``partitions`` counts for a new log only: by default as many as a shuffle has, 32 to 256."""
         self.spark, self.root = spark, root.rstrip("/")
         self.folder = Folder(spark, self.root)
         if not self._captures():
+            partitions = partitions or min(256, max(32, int(spark.conf.get("spark.sql.shuffle.partitions"))))
             self.folder.create("captured-000000000.json", {"captures": [], "ends": {}, "partitions": partitions})
         self.partitions = int(self._last()["partitions"])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from driftmark.operators import diffing
 from driftmark.operators.chunking import ChunkingConfig, chunk_documents
-from driftmark.operators.embedding import RetryPolicy, embed_documents
+from driftmark.operators.embedding import RetryPolicy, embed_documents, failures
 from driftmark.session import materialize
 
 INDEXED, DELETED, SKIPPED = "indexed", "deleted", "skipped_stale"
@@ -41,7 +41,7 @@ class IndexPlan:
         self.diff = materialize(diffing.diff_chunks(desired, stored).join(desired.select("document_id", "content_hash", "content"), ["document_id", "content_hash"], "left"), "diff")
         embedded = embed_documents(self.diff.filter(F.col("action") == diffing.EMBED), provider, policy)
         self.embedded = materialize(embedded, "embedded")
-        self.failures = self.embedded.filter("error_type IS NOT NULL").drop("vectors")
+        self.failures = failures(self.embedded)
         failed = self.failures.select("document_id")
         done = live.join(failed, "document_id", "left_anti")
         new = self.embedded.filter("vectors IS NOT NULL").select("document_id", F.inline("vectors"))

@@ -20,7 +20,7 @@ from driftmark.plans import clean
 from driftmark.session import materialize, new_folder
 from driftmark.settings import Settings
 from driftmark.sources.tables import table
-from driftmark.streaming import worker
+from driftmark.streaming import benchmark, worker
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -773,11 +773,10 @@ wp AS (SELECT d, p, md5('42:' || d || ':' || p)[1:2] < '1a' AS edited FROM (SELE
 (SELECT count(*) FROM wp WHERE edited) AS chunks_embedded, (SELECT count(*) FROM wp WHERE d IN (SELECT d FROM wp WHERE edited)) AS chunks_in_edited""")
 def workload_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published workload: 1,000 documents of 4 to 12 paragraphs, about a tenth of the paragraphs rewritten."""
-    docs = workload.synthetic_documents(spark, 1000, 42)
-    parts = docs.select("document_id", "number", text.paragraphs(F.col("content")).alias("ps"))
-    edited = workload.rewrite(F.col("ps"), lambda i: F.substring(F.md5(F.concat_ws(":", F.lit("42"), F.col("number").cast("string"), i.cast("string"))), 1, 2) < "1a", lambda p: F.concat(p, F.lit(" It was revised.")))
-    before = chunk_documents(docs.select("document_id", "content"))
-    after = chunk_documents(parts.select("document_id", workload.join(edited).alias("content")))
+    docs = workload.synthetic_documents(spark, 1000, benchmark.SEED)
+    edited = benchmark.rewritten(docs).select("document_id", "content")
+    untouched = docs.select("document_id", "content").join(edited.select("document_id"), "document_id", "left_anti")
+    before, after = chunk_documents(docs.select("document_id", "content")), chunk_documents(edited.unionByName(untouched))
     per = diffing.summarize(diffing.diff_chunks(after, before)).withColumn("t", F.col("to_embed") + F.col("to_reuse"))
     hit = F.col("to_embed") > 0
     return per.agg(F.count(F.lit(1)).alias("documents"), F.sum("t").alias("paragraphs"), F.count_if(hit).alias("documents_edited"), F.sum("to_embed").alias("chunks_embedded"), F.sum(F.when(hit, F.col("t"))).alias("chunks_in_edited"))

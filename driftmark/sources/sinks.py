@@ -18,8 +18,8 @@ def messages(batch: DataFrame) -> DataFrame:
 
 
 class EventSink(Protocol):
-    def send(self, batch: DataFrame) -> DataFrame:
-        """Send outbox rows and return those (``id``) that were acknowledged."""
+    def send(self, batch: DataFrame) -> DataFrame | None:
+        """Send outbox rows and return those (``id``) that were acknowledged; None if all were."""
         ...
 
 
@@ -29,10 +29,9 @@ class FileSink:
     def __init__(self, path: str) -> None:
         self.path = path
 
-    def send(self, batch: DataFrame) -> DataFrame:
+    def send(self, batch: DataFrame) -> None:
         # One file, as a batch is bounded by its limit and readers of the folder shall see its order.
         messages(batch).orderBy("id").select("key", "value").coalesce(1).write.mode("append").parquet(self.path)
-        return batch.select("id")
 
 
 class KafkaSink:
@@ -43,6 +42,5 @@ class KafkaSink:
     def __init__(self, servers: str, topic: str, timeout_ms: int = 30_000, **options: str) -> None:
         self.options = {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.linger.ms": "5", "kafka.delivery.timeout.ms": str(timeout_ms), "kafka.request.timeout.ms": str(timeout_ms // 2)} | options
 
-    def send(self, batch: DataFrame) -> DataFrame:
+    def send(self, batch: DataFrame) -> None:
         messages(batch).select("key", "value").write.format("kafka").options(**self.options).save()
-        return batch.select("id")

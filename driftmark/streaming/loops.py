@@ -36,6 +36,9 @@ class Loop:
         self._thread.start()
         return self
 
+    def running(self) -> bool:
+        return self._thread.is_alive()
+
     def stop(self, timeout: float | None = None) -> None:
         """Finish the step in progress and end."""
         self._stopped.set()

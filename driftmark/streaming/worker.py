@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from driftmark.engine import Engine
 from driftmark.functions.text import decode_event
 from driftmark.operators import metrics
-from driftmark.session import as_uri, materialize, scratch, together
+from driftmark.session import as_uri, materialize, scratch
 from driftmark.sources.files import Folder
 
 MESSAGE = "key binary, value string"
@@ -85,11 +85,11 @@ class Worker:
         now, name = self.engine.now(), f"{worker}-{batch_id:012d}"
         # Keyed by batch: a replay overwrites its own letters. Those of malformed events do not wait for the commit,
         # those of failed documents are written from what the commit kept, by whichever attempt comes after it.
-        malformed = dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), now)
-        ids = good.select(F.col("e.document_id").alias("document_id"))
-        _, n_good, n_bad = together(lambda: self._letters(malformed, name), good.count, bad.count)
-        plan = self.engine.process(ids, worker, batch_id)
-        if (failures := self.engine.failures(worker, batch_id)) is not None:
+        n_good, n_bad = decoded.agg(F.count_if(F.col("e.error").isNull()), F.count_if(F.col("e.error").isNotNull())).collect()[0]
+        if n_bad:
+            self._letters(dead_letters(bad, F.lit("ValueError"), F.col("e.error"), F.lit(1), now), name)
+        plan = self.engine.process(good.select(F.col("e.document_id").alias("document_id")), worker, batch_id)
+        if (failures := self.engine.failures(worker, batch_id)) is not None and not failures.isEmpty():
             failed = good.join(failures.withColumnRenamed("document_id", "d"), F.col("e.document_id") == F.col("d"))
             self._letters(dead_letters(failed, F.col("error_type"), F.col("error_message"), F.col("attempts"), now), f"{name}-failed")
         if self.metrics is not None and plan is not None:
@@ -111,6 +111,8 @@ class Worker:
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    if not Folder(spark, as_uri(path)).names():
+        return spark.createDataFrame([], DEAD + ", batch string")
     return spark.read.schema(DEAD + ", batch string").parquet(path)
 
 

@@ -13,7 +13,7 @@ from driftmark.functions import text as T
 from driftmark.functions import vectors as V
 from driftmark.operators import diffing, metrics
 from driftmark.operators.chunking import ChunkingConfig, canonical, chunk, chunk_documents, chunk_texts, digest
-from driftmark.operators.embedding import EmbeddingError, FailingProvider, HashedWords, PermanentEmbeddingError, RemoteProvider, RetryPolicy, TransientEmbeddingError, check_vectors, create_provider, embed_documents, embed_with_retries
+from driftmark.operators.embedding import EmbeddingError, FailingProvider, HashedWords, PermanentEmbeddingError, RemoteProvider, RetryPolicy, TransientEmbeddingError, check_vectors, create_provider, embed_documents, embed_with_retries, failures
 from driftmark.settings import Settings, SettingsError
 
 SMALL = ChunkingConfig(40, 200)
@@ -139,6 +139,17 @@ def test_a_document_embeds_as_a_whole(spark):
     assert {(r["document_id"], r["error_type"], r["attempts"]) for r in failed} == {("a", "TransientEmbeddingError", 1), ("b", "TransientEmbeddingError", 1)}
 
 
+def test_long_documents_are_embedded_in_several_calls(spark):
+    rows = spark.createDataFrame([("a", f"h{i}", f"text number {i}") for i in range(40)] + [("b", "h", "x")], "document_id string, content_hash string, content string")
+    got = embed_documents(rows, HashedWords(4), RetryPolicy(0), 8).collect()
+    assert sum(r["document_id"] == "a" for r in got) > 1 and sum(r["document_id"] == "b" for r in got) == 1
+    assert sorted(v["content_hash"] for r in got if r["document_id"] == "a" for v in r["vectors"]) == sorted(f"h{i}" for i in range(40))
+    some = embed_documents(rows, FailingProvider(HashedWords(4), 0.5, 2), RetryPolicy(0), 8)
+    calls = [r["error_type"] for r in some.collect() if r["document_id"] == "a"]
+    assert None in calls and "TransientEmbeddingError" in calls  # some calls failed, so the document did
+    assert "a" in {r["document_id"] for r in failures(some).collect()} and failures(some).count() <= 2
+
+
 def test_events_as_json(spark):
     u, v = "01234567-89ab-4cde-8f01-23456789abcd", "11234567-89ab-4cde-8f01-23456789abcd"
     good = spark.sql(f"SELECT '{u}' e, '{v}' d, 'upserted' t, 3 n, TIMESTAMP '2025-01-02 03:04:05.000006' c").select(T.event_json(F.col("e"), F.col("d"), F.col("t"), F.col("n"), F.col("c")).alias("v"))

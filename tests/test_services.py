@@ -256,6 +256,14 @@ def test_counters_of_batches(spark):
     assert {r["value"] for r in metrics.grown(first, held).filter("name = 'chunks_total' AND label = 'reused'").collect()} == {1.0}
 
 
+def test_benchmark_and_its_report(spark):
+    from driftmark.streaming.benchmark import phases, report
+
+    seed, edit = phases(spark, 30)
+    assert seed["documents"] == 30 and seed["embedded"] == seed["chunks"] and 0 < edit["embedded"] < edit["chunks"]
+    assert seed["lag_ms"] == sorted(seed["lag_ms"]) and report([seed, edit]).count("|") == 4 * 11
+
+
 def test_relay_and_new_checkpoints(spark, tmp_path):
     from driftmark.streaming.loops import relay
     from driftmark.streaming.worker import Worker, read_events
