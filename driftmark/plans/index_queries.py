@@ -15,7 +15,7 @@ from driftmark.engine import Engine
 from driftmark.operators import diffing, indexing, metrics, mutations, reconciling, searching, verifying, workload
 from driftmark.operators.cells import CellIndex
 from driftmark.operators.chunking import chunk_documents
-from driftmark.operators.embedding import HashedWords, RetryPolicy, embed_texts
+from driftmark.operators.embedding import FailingProvider, HashedWords, RetryPolicy, embed_texts
 from driftmark.plans import clean
 from driftmark.session import materialize, new_folder
 from driftmark.settings import Settings
@@ -703,6 +703,20 @@ def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engine.store.read("index_state").join(chunks, "document_id", "left").select("document_id", "indexed_version", "deleted", F.coalesce("n", F.lit(0)).alias("n_chunks"), F.sha2(F.coalesce(F.array_join("c.content_hash", ""), F.lit("")), 256).alias("chunks"))
 
 
+@query(f"""{_INDEXED}, bad AS (SELECT DISTINCT document_id FROM k), ok AS (SELECT *, document_id IS NOT NULL AND event_id IS NOT NULL AND event_type IN ('upserted', 'deleted') AND document_version IS NOT NULL AND created_at IS NOT NULL AS good FROM o)
+SELECT * FROM (SELECT 'TransientEmbeddingError' AS error_type, '3' AS attempts, (SELECT count(*) FROM ok SEMI JOIN bad ON bad.document_id = ok.document_id WHERE good) AS letters, (SELECT count(*) FROM di WHERE document_id NOT IN (SELECT document_id FROM bad)) AS indexed
+UNION ALL SELECT 'ValueError', '1', (SELECT count(*) FROM ok WHERE good IS NOT TRUE), (SELECT count(*) FROM di WHERE document_id NOT IN (SELECT document_id FROM bad))) WHERE letters > 0""")
+def stream_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider that fails always: after three attempts each event of a document with new chunks is a dead letter,
+    nothing of that document changes, and all others are indexed."""
+    engine, events = _running(spark, sf_dir)
+    engine.provider, engine.policy = FailingProvider(engine.provider, 1.0), RetryPolicy(2, 0.0)
+    w = _apply_events(engine, events, [F.col("id")])
+    header = lambda name: F.col("headers")[f"dlq.{name}"].alias(name)
+    letters = worker.read_dead_letters(spark, w.dead).select(header("error_type"), header("attempts")).groupBy("error_type", "attempts").agg(F.count(F.lit(1)).alias("letters"))
+    return letters.crossJoin(engine.store.read("index_state").agg(F.count(F.lit(1)).alias("indexed")))  # one row
+
+
 @query("SELECT unnest(['again', 'reversed', 'shuffled']) AS replay, 0 AS differences")
 def stream_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events again, backwards, and in an order without sense: what each replay changed in the index."""
